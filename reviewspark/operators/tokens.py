@@ -27,12 +27,13 @@ def explode_array(df: DataFrame, col: str, key: str = "doc_id", value: str = "to
 
 
 def sentence_corpus(df: DataFrame, text: str = "text", key: str = "doc_id",
-                    remove_stop_words: bool = False, ascii_fold: bool = True) -> DataFrame:
+                    remove_stop_words: bool = False, ascii_fold: bool = True,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
     """Documents to ``(doc_id, sent_no, words)``: one row per sentence, never one
     giant list.  Optional ASCII fold first (undecodable text dropped)."""
     from ..functions.clean import ascii_only
     src = ascii_only(F.col(text)) if ascii_fold else F.col(text)
-    return df.select(key, F.posexplode(T.sentence_words(src, remove_stop_words)).alias("sent_no", "words"))
+    return df.select(key, *keep, F.posexplode(T.sentence_words(src, remove_stop_words)).alias("sent_no", "words"))
 
 
 def corpus_union(*corpora: DataFrame) -> DataFrame:

@@ -48,7 +48,7 @@ def ascii_only(e: str) -> str:
 
 
 def ws_split(e: str) -> str:
-    return f"list_filter(regexp_split_to_array(coalesce({e}, ''), {lit(WS)}), x -> x <> '')"
+    return f"list_filter(regexp_split_to_array(coalesce({e}, ''), {lit(WS)}), lambda x: x <> '')"
 
 
 def stop_list() -> str:
@@ -56,22 +56,22 @@ def stop_list() -> str:
 
 
 def clean_tokens(e: str, stops: bool = True) -> str:
-    alpha = f"list_transform(list_filter({ws_split(e)}, x -> regexp_full_match(x, '[A-Za-z]{{2,}}')), x -> lower(x))"
+    alpha = f"list_transform(list_filter({ws_split(e)}, lambda x: regexp_full_match(x, '[A-Za-z]{{2,}}')), lambda x: lower(x))"
     if stops:
-        return f"list_filter({alpha}, x -> NOT list_contains({stop_list()}, x))"
+        return f"list_filter({alpha}, lambda x: NOT list_contains({stop_list()}, x))"
     return alpha
 
 
 def review_words(e: str, remove_stop_words: bool = False) -> str:
     words = ws_split(f"lower({keep_rule(strip_html(e))})")
     if remove_stop_words:
-        return f"list_filter({words}, x -> NOT list_contains({stop_list()}, x))"
+        return f"list_filter({words}, lambda x: NOT list_contains({stop_list()}, x))"
     return words
 
 
 def freq_tokens(e: str) -> str:
     return (f"list_filter(string_split(translate(lower(coalesce({e}, '')), {lit(FREQ_FILTERS)}, "
-            f"{lit(' ' * len(FREQ_FILTERS))}), ' '), x -> x <> '')")
+            f"{lit(' ' * len(FREQ_FILTERS))}), ' '), lambda x: x <> '')")
 
 
 def word_tokens(e: str) -> str:
@@ -88,3 +88,13 @@ def md5_unit(seed, key: str) -> str:
 
 def md5_key(seed, key: str) -> str:
     return f"md5('{seed}:' || CAST({key} AS VARCHAR))"
+
+
+def sentence_split(e: str) -> str:
+    trimmed = "lambda s: regexp_replace(s, '^[ \\t\\n\\r\\f\\x0B]+|[ \\t\\n\\r\\f\\x0B]+$', '', 'g')"
+    return (f"list_filter(list_transform(regexp_extract_all(coalesce({e}, ''), '[^.!?]+[.!?]*'), {trimmed}), "
+            f"lambda s: length(s) > 0)")
+
+
+def join_list(e: str) -> str:
+    return f"array_to_string({e}, ' ')"

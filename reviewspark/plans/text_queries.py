@@ -1 +1,189 @@
-"""Registered queries."""
+"""Sources, cleaning and tokenising queries.
+
+Token lists are reported as ``(key, n, tokens)`` with the list joined by
+single spaces, so both engines compare scalar columns.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..catalog import query
+from ..functions import clean as C
+from ..functions import tokens as T
+from ..functions.fixed import STOP_WORDS
+from ..operators.tokens import corpus_union, explode_tokens, ngram_table, sentence_corpus
+from ..oracle import sqltext as S
+from ..sources import tables
+from ..sources.text import pos_neg_source
+from .common import LABELLED, SQL_REVIEWS, SQL_SENTENCES, reviews_labelled, sentences_labelled
+
+
+def _listed(df, key, arr):
+    return df.select(key, F.size(arr).cast("bigint").alias("n"), F.array_join(arr, " ").alias("tokens"))
+
+
+def _sql_listed(src, key, expr):
+    return f"SELECT {key}, CAST(len(tk) AS BIGINT) AS n, array_to_string(tk, ' ') AS tokens FROM (SELECT {key}, {expr} AS tk FROM ({src}))"
+
+
+_DOCS = "SELECT doc_id, text FROM documents"
+_PAGES = "SELECT page_id, html FROM pages"
+
+
+@query("src_pos_neg",
+       f"SELECT d.doc_id, {S.clean_sentence('d.text')} AS text, CASE WHEN l.quality = 1 THEN 1 ELSE 0 END AS label "
+       f"FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IN (0, 1)")
+def q_src_pos_neg(spark, sf):
+    """Two labelled sources (positive, negative) -> one cleaned ``(doc_id, text, label)`` table."""
+    docs = tables.documents(spark, sf, "doc_id", "text")
+    labels = tables.table(spark, sf, "labels", "doc_id", "quality")
+    pos = docs.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    neg = docs.join(labels.where("quality = 0").select("doc_id"), "doc_id", "left_semi")
+    return pos_neg_source(pos, neg)
+
+
+@query("clean_sentence", f"SELECT doc_id, {S.clean_sentence('text')} AS text FROM documents")
+def q_clean_sentence(spark, sf):
+    return tables.documents(spark, sf).select("doc_id", C.clean_sentence("text").alias("text"))
+
+
+@query("strip_html", f"SELECT page_id, {S.strip_html('html')} AS text FROM pages")
+def q_strip_html(spark, sf):
+    return tables.pages(spark, sf).select("page_id", C.strip_html("html").alias("text"))
+
+
+@query("clean_review", f"SELECT page_id, {S.keep_rule(S.strip_html('html'))} AS text FROM pages")
+def q_clean_review(spark, sf):
+    return tables.pages(spark, sf).select("page_id", C.clean_review("html").alias("text"))
+
+
+@query("review_words", _sql_listed(_PAGES, "page_id", S.review_words("html")))
+def q_review_words(spark, sf):
+    return _listed(tables.pages(spark, sf), "page_id", T.review_words("html"))
+
+
+@query("review_words_nostop", _sql_listed(_PAGES, "page_id", S.review_words("html", True)))
+def q_review_words_nostop(spark, sf):
+    return _listed(tables.pages(spark, sf), "page_id", T.review_words("html", remove_stop_words=True))
+
+
+@query("ascii_only", f"SELECT doc_id, {S.ascii_only('text')} AS text FROM documents")
+def q_ascii_only(spark, sf):
+    return tables.documents(spark, sf).select("doc_id", C.ascii_only("text").alias("text"))
+
+
+@query("clean_tokens", _sql_listed(SQL_REVIEWS, "doc_id", S.clean_tokens("text")))
+def q_clean_tokens(spark, sf):
+    return _listed(reviews_labelled(spark, sf), "doc_id", T.clean_tokens("text"))
+
+
+@query("tok_split", _sql_listed(SQL_REVIEWS, "doc_id", S.ws_split("text")))
+def q_tok_split(spark, sf):
+    return _listed(reviews_labelled(spark, sf), "doc_id", T.whitespace_split("text"))
+
+
+@query("tok_alpha", _sql_listed(SQL_REVIEWS, "doc_id",
+                                f"list_transform(list_filter({S.ws_split('text')}, lambda x: regexp_full_match(x, '[A-Za-z]+')), lambda x: lower(x))"))
+def q_tok_alpha(spark, sf):
+    return _listed(reviews_labelled(spark, sf), "doc_id", T.lower_all(T.alpha_only(T.whitespace_split("text"))))
+
+
+@query("tok_stopwords", _sql_listed(SQL_REVIEWS, "doc_id",
+                                    f"list_filter(list_transform({S.ws_split('text')}, lambda x: lower(x)), "
+                                    f"lambda x: NOT list_contains({S.stop_list()}, x))"))
+def q_tok_stopwords(spark, sf):
+    return _listed(reviews_labelled(spark, sf), "doc_id",
+                   T.drop_stop_words(T.lower_all(T.whitespace_split("text"))))
+
+
+@query("tok_minlen", _sql_listed(SQL_REVIEWS, "doc_id", f"list_filter({S.ws_split('text')}, lambda x: length(x) > 1)"))
+def q_tok_minlen(spark, sf):
+    return _listed(reviews_labelled(spark, sf), "doc_id", T.min_length(T.whitespace_split("text"), 2))
+
+
+@query("tok_freq", _sql_listed(SQL_SENTENCES, "doc_id", S.freq_tokens("text")))
+def q_tok_freq(spark, sf):
+    return _listed(sentences_labelled(spark, sf), "doc_id", T.freq_tokens("text"))
+
+
+@query("tok_words", _sql_listed(SQL_SENTENCES, "doc_id", S.word_tokens("text")))
+def q_tok_words(spark, sf):
+    return _listed(sentences_labelled(spark, sf), "doc_id", T.word_tokens("text"))
+
+
+@query("word_count", f"SELECT doc_id, CAST(len({S.ws_split('text')}) AS BIGINT) AS n_words FROM documents")
+def q_word_count(spark, sf):
+    return tables.documents(spark, sf).select("doc_id", T.word_count("text").cast("bigint").alias("n_words"))
+
+
+@query("filter_min_words",
+       f"SELECT doc_id, text, label FROM ({SQL_SENTENCES}) WHERE len({S.ws_split('text')}) > 10")
+def q_filter_min_words(spark, sf):
+    return sentences_labelled(spark, sf).where(T.word_count("text") > 10)
+
+
+@query("sentences",
+       f"SELECT doc_id, generate_subscripts(ss, 1) - 1 AS sent_no, unnest(ss) AS sentence "
+       f"FROM (SELECT doc_id, {S.sentence_split(S.ascii_only('text'))} AS ss FROM documents)")
+def q_sentences(spark, sf):
+    docs = tables.documents(spark, sf)
+    return docs.select("doc_id", F.posexplode(T.sentence_split(C.ascii_only("text"))).alias("sent_no", "sentence")) \
+               .withColumn("sent_no", F.col("sent_no").cast("bigint"))
+
+
+def _sql_sentence_words(src, key="doc_id", extra=""):
+    words = "list_transform(ss, lambda s: " + S.review_words("s") + ")"
+    return (f"SELECT {key}{extra}, generate_subscripts(sw, 1) - 1 AS sent_no, unnest(sw) AS w "
+            f"FROM (SELECT {key}{extra}, {words} AS sw FROM "
+            f"(SELECT {key}{extra}, {S.sentence_split(S.ascii_only('text'))} AS ss FROM ({src})))")
+
+
+@query("sentence_corpus",
+       f"SELECT doc_id, sent_no, CAST(len(w) AS BIGINT) AS n, array_to_string(w, ' ') AS words "
+       f"FROM ({_sql_sentence_words(_DOCS)})")
+def q_sentence_corpus(spark, sf):
+    sc = sentence_corpus(tables.documents(spark, sf))
+    return sc.select("doc_id", F.col("sent_no").cast("bigint").alias("sent_no"),
+                     F.size("words").cast("bigint").alias("n"), F.array_join("words", " ").alias("words"))
+
+
+@query("corpus_union",
+       f"SELECT doc_id, sent_no, label, CAST(len(w) AS BIGINT) AS n FROM ({_sql_sentence_words(LABELLED, extra=', label')}) "
+       f"UNION ALL SELECT doc_id, sent_no, -1 AS label, CAST(len(w) AS BIGINT) AS n FROM "
+       f"({_sql_sentence_words('SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)')})")
+def q_corpus_union(spark, sf):
+    """Labelled and unlabelled sentence corpora in one table (``label`` -1 = unlabelled)."""
+    lab = tables.labelled_documents(spark, sf)
+    a = sentence_corpus(lab, keep=("label",))
+    b = sentence_corpus(tables.unlabelled_documents(spark, sf))
+    return corpus_union(a, b).select("doc_id", F.col("sent_no").cast("bigint").alias("sent_no"),
+                                     F.coalesce(F.col("label").cast("int"), F.lit(-1)).alias("label"),
+                                     F.size("words").cast("bigint").alias("n"))
+
+
+_GRAMS_SQL = []
+for _n in range(1, 6):
+    _GRAMS_SQL.append(
+        f"SELECT doc_id, array_to_string(list_slice(tk, i, i + {_n - 1}), ' ') AS gram "
+        f"FROM (SELECT doc_id, tk, unnest(range(1, len(tk) - {_n - 1} + 1)) AS i FROM "
+        f"(SELECT doc_id, {S.word_tokens('text')} AS tk FROM ({SQL_SENTENCES})))")
+
+
+@query("ngrams", "SELECT gram, count(*) AS n FROM (" + " UNION ALL ".join(_GRAMS_SQL) + ") GROUP BY gram")
+def q_ngrams(spark, sf):
+    """Counts of all word 1..5-grams of the labelled documents."""
+    grams = ngram_table(sentences_labelled(spark, sf), T.word_tokens("text"), 1, 5)
+    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("tokens_no_stop",
+       f"SELECT t.doc_id, t.pos, t.token FROM (SELECT doc_id, unnest(tk) AS token, generate_subscripts(tk, 1) - 1 AS pos "
+       f"FROM (SELECT doc_id, {S.review_words('text')} AS tk FROM ({LABELLED}))) t "
+       f"WHERE t.token NOT IN (SELECT unnest({S.stop_list()}))")
+def q_tokens_no_stop(spark, sf):
+    """Stop words removed by a broadcast anti-join against the (fixed, 179-row) stop table."""
+    lab = tables.labelled_documents(spark, sf)
+    long = explode_tokens(lab, T.review_words("text"))
+    stops = spark.createDataFrame([(w,) for w in STOP_WORDS], "token string")
+    return long.join(F.broadcast(stops), "token", "left_anti").select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token")
