@@ -5,6 +5,12 @@ Here the rows are range-partitioned on the order key and sorted inside each
 partition; ``monotonically_increasing_id`` then carries (partition, position)
 and a table with one row per partition (bounded by the partition count, so it
 is safe to broadcast) supplies each partition's offset.
+
+The range bounds come from sampling the input, and a re-evaluated input (a
+second branch of the plan, a retried stage) may arrive in another order and
+be cut differently.  The tagged rows are therefore checkpointed to the
+shared checkpoint folder once, and both the per-partition counts and the
+final ranks are read from that single copy.
 """
 
 from __future__ import annotations
@@ -12,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _LOW_BITS = 33  # monotonically_increasing_id: partition id << 33 | row number
 
 
@@ -25,9 +33,11 @@ def _ranged(df: DataFrame, order: list[Column], num_partitions: int | None) -> D
     n = _partitions(df, num_partitions)
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    return (ranged.withColumn("_pid", F.shiftright("_mid", _LOW_BITS))
-                  .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
-                  .drop("_mid"))
+    tagged = (ranged.withColumn("_pid", F.shiftright("_mid", _LOW_BITS))
+                    .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+                    .drop("_mid"))
+    ensure_checkpoint_dir(df.sparkSession)
+    return tagged.checkpoint(eager=True)
 
 
 def dense_index(df: DataFrame, order: list[Column], name: str = "idx", start: int = 1,
