@@ -13,27 +13,30 @@ from pyspark.sql import functions as F
 from .ranking import dense_index
 
 
-def _token_stats(tokens_long: DataFrame) -> DataFrame:
+def _token_stats(tokens_long: DataFrame, doc_order: str = "doc_id") -> DataFrame:
     return (tokens_long.groupBy("token")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.min(F.struct("doc_id", "pos")).alias("first"))
-            .select("token", "n", F.col("first.doc_id").alias("first_doc"),
-                    F.col("first.pos").alias("first_pos")))
+                 F.min(F.struct(F.col(doc_order).alias("d"), F.col("pos").alias("p"))).alias("first"))
+            .select("token", "n", F.col("first.d").alias("first_doc"),
+                    F.col("first.p").alias("first_pos")))
 
 
-def vocab_freq(tokens_long: DataFrame) -> DataFrame:
+def vocab_freq(tokens_long: DataFrame, doc_order: str = "doc_id") -> DataFrame:
     """Index 1..n by count descending, ties by first occurrence (doc order, position).
 
     Output ``(token, n, idx)``.
     """
-    stats = _token_stats(tokens_long)
+    stats = _token_stats(tokens_long, doc_order)
     return dense_index(stats, [F.desc("n"), F.asc("first_doc"), F.asc("first_pos")]) \
         .select("token", "n", "idx")
 
 
-def vocab_first_seen(tokens_long: DataFrame) -> DataFrame:
-    """Index 1..n by first occurrence in (doc order, position). ``(token, idx)``."""
-    stats = _token_stats(tokens_long)
+def vocab_first_seen(tokens_long: DataFrame, doc_order: str = "doc_id") -> DataFrame:
+    """Index 1..n by first occurrence in (doc order, position). ``(token, idx)``.
+
+    ``doc_order`` names the column giving the document order (``doc_id`` or a
+    shuffle rank)."""
+    stats = _token_stats(tokens_long, doc_order)
     return dense_index(stats, [F.asc("first_doc"), F.asc("first_pos")]).select("token", "idx")
 
 
