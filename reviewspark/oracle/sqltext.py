@@ -83,7 +83,7 @@ def md5_int(seed, key: str) -> str:
 
 
 def md5_unit(seed, key: str) -> str:
-    return f"({md5_int(seed, key)} / 4294967296.0)"
+    return f"(CAST({md5_int(seed, key)} AS DOUBLE) / CAST(4294967296 AS DOUBLE))"
 
 
 def md5_key(seed, key: str) -> str:

@@ -63,3 +63,19 @@ def sql_long(src_sql: str, tokens_expr: str, key: str = "doc_id") -> str:
 SQL_WORD_LONG = sql_long(SQL_SENTENCES, S.word_tokens("text"))
 SQL_FREQ_LONG = sql_long(SQL_SENTENCES, S.freq_tokens("text"))
 SQL_CLEAN_LONG = sql_long(SQL_REVIEWS, S.clean_tokens("text"))
+
+
+# ---- scored documents for the evaluation queries ---------------------------
+# A deterministic stand-in for a model's probability: informative about the
+# label but noisy, identical in both engines (md5 draws, IEEE doubles).
+
+
+def scored_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    from ..functions.hashing import md5_unit
+    lab = sentences_labelled(spark, sf)
+    pred = F.lit(0.3) * F.col("label") + F.lit(0.7) * md5_unit("score", "doc_id")
+    return lab.withColumn("pred", pred)
+
+
+SQL_SCORED = (f"SELECT doc_id, text, label, CAST(0.3 AS DOUBLE) * label + CAST(0.7 AS DOUBLE) * "
+              f"{S.md5_unit('score', 'doc_id')} AS pred FROM ({SQL_SENTENCES})")
