@@ -45,5 +45,10 @@ def corpus_union(*corpora: DataFrame) -> DataFrame:
 
 
 def ngram_table(df: DataFrame, tokens: Column, lo: int, hi: int, key: str = "doc_id") -> DataFrame:
-    """``(key, gram)`` for all n-grams with n in [lo, hi]."""
-    return df.select(key, F.explode(T.ngram_range(tokens, lo, hi)).alias("gram"))
+    """``(key, gram)`` for all n-grams with n in [lo, hi].
+
+    The token array is projected first: the n-gram lambdas refer to it once
+    per position, and a lambda body gets no common-subexpression reuse, so an
+    inline tokeniser would be re-run for every n-gram."""
+    return (df.select(key, tokens.alias("_t"))
+              .select(key, F.explode(T.ngram_range(F.col("_t"), lo, hi)).alias("gram")))
