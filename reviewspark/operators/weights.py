@@ -69,6 +69,21 @@ def tfidf_log(tf: DataFrame, docs: DataFrame) -> DataFrame:
                        F.log(F.lit(1.0) + n / (F.lit(1.0) + F.col("df")))).alias("w")))
 
 
+def fit_transform_tfidf(tokens_long: DataFrame, docs: DataFrame, key: str = "doc_id"):
+    """``(tf, idf, weights)`` with the term counts written once.
+
+    The term counts feed both the document frequencies and the weighting
+    join; AQE does not reliably reuse that exchange, and recomputing it
+    would re-run the cleaning and tokenising of every text.  They are
+    therefore materialised in the shared checkpoint folder (one pass, lineage
+    cut, survives executor loss) and read twice.
+    """
+    from ..session import materialize
+    tf = materialize(term_counts(tokens_long, key), "tf")
+    idf_table = idf(tf, docs)
+    return tf, idf_table, tfidf(tf, idf_table, key)
+
+
 def binarize(df: DataFrame, col: str, threshold: float = 0.0, name: str = "bin") -> DataFrame:
     """``(col > threshold) -> 1 else 0``."""
     return df.withColumn(name, (F.col(col) > threshold).cast("int"))

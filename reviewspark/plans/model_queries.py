@@ -1 +1,120 @@
-"""Registered queries."""
+"""Model queries (no SQL twin; checked by invariants in ``tests/test_models.py``).
+
+All use the learnable target ``label = (lang = 'en')`` over every document
+and the md5 bucket split (20 % validation); each result carries the
+majority-class rate next to its accuracy.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..catalog import query
+from ..functions import tokens as T
+from ..ml import linear as L
+from ..ml.kernel import fit_rbf_svm
+from ..ml.search import grid_search, random_search
+from ..ml.word2vec import fit_word2vec
+from ..operators import evaluate as Ev
+from ..operators.splits import with_split_bucket
+from ..operators.tokens import explode_tokens
+from ..operators.vectors import doc_vectors
+from ..sources import tables
+from ..sources.vectors import bound_vectors
+from .common import rnd
+
+
+def _target(spark, sf):
+    docs = tables.language_target(spark, sf)
+    return with_split_bucket(docs, 0.2, 42)
+
+
+def _fit_predict(pipeline, spark, sf):
+    data = L.with_token_columns(_target(spark, sf))
+    model = pipeline.fit(data.where("split = 'train'"))
+    return model.transform(data.where("split = 'val'"))
+
+
+@query("svm_predict")
+def q_svm_predict(spark, sf):
+    """Linear SVM on smooth tf-idf: validation predictions with margins."""
+    out = _fit_predict(L.svm_pipeline(1e-3, 20), spark, sf)
+    return out.select("doc_id", "label", F.col("prediction").cast("int").alias("pred"),
+                      rnd(L.margin()).alias("margin"))
+
+
+@query("logreg_predict")
+def q_logreg_predict(spark, sf):
+    out = _fit_predict(L.logreg_pipeline(1e-3, 50), spark, sf)
+    return out.select("doc_id", "label", F.col("prediction").cast("int").alias("pred"),
+                      rnd(L.positive_probability()).alias("prob"))
+
+
+@query("svm_accuracy")
+def q_svm_accuracy(spark, sf):
+    """Validation accuracy of the linear SVM next to the majority-class rate."""
+    out = _fit_predict(L.svm_pipeline(1e-3, 20), spark, sf)
+    return Ev.accuracy(out.select("label", F.col("prediction").alias("pred")))
+
+
+@query("rbf_svm_predict")
+def q_rbf_svm_predict(spark, sf):
+    """Approximate RBF-kernel SVM on mean word vectors, Platt probabilities."""
+    docs = _target(spark, sf)
+    long = explode_tokens(docs, T.review_words("text"))
+    vecs = doc_vectors(long, bound_vectors(spark, sf))
+    data = docs.select("doc_id", "label", "split").join(vecs, "doc_id")
+    predict = fit_rbf_svm(data.where("split = 'train'"), dim=64, vec="vec", gamma=1.0)
+    out = predict(data.where("split = 'val'"))
+    return out.select("doc_id", "label", rnd("prob").alias("prob"), "prediction")
+
+
+@query("word2vec_fit")
+def q_word2vec_fit(spark, sf):
+    """Skip-gram vectors on the sentence corpus of all documents after
+    frequent-word subsampling: ``(word, dim, norm)``."""
+    vectors = fit_word2vec(tables.documents(spark, sf))
+    return vectors.select("word", F.size("vec").alias("dim"),
+                          rnd(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"))
+
+
+@query("grid_search")
+def q_grid_search(spark, sf):
+    """8 combinations (n-gram range x idf x regularisation), 3 stratified folds:
+    ``(trial_id, ngram_hi, use_idf, reg_param, mean_accuracy, std_accuracy)``."""
+    return grid_search(tables.language_target(spark, sf))
+
+
+@query("search_run")
+def q_search_run(spark, sf):
+    """Seeded random search over 4 trials; one Spark job per trial."""
+    return random_search(tables.language_target(spark, sf), n_trials=4)
+
+
+def _cnn(spark, sf, epochs):
+    from ..ml import cnn
+    from .cnn_inputs import cnn_inputs
+    rows, emb = cnn_inputs(spark, sf)
+    spec = cnn.CnnSpec(max_len=200, dim=64)
+    train, val = rows.where("split = 'train'"), rows.where("split = 'val'")
+    theta, history = cnn.fit(train, spec, emb, epochs=epochs, batch_frac=0.5, val=val)
+    return cnn, spec, theta, emb, val, history
+
+
+@query("cnn_score")
+def q_cnn_score(spark, sf):
+    """Text-CNN probabilities for the validation rows after a short fit."""
+    cnn, spec, theta, emb, val, _ = _cnn(spark, sf, epochs=2)
+    return cnn.score(val, spec, theta, emb).select("doc_id", "label", rnd("pred").alias("pred"))
+
+
+@query("fit_history")
+def q_fit_history(spark, sf):
+    """Per-epoch loss / validation accuracy of a text-CNN fit, appended to a
+    Parquet history table and read back."""
+    from ..session import shared_path
+    from ..sinks.writers import append_history
+    _, _, _, _, _, history = _cnn(spark, sf, epochs=3)
+    path = shared_path(spark, "history")
+    append_history(spark.createDataFrame(history, "run_id string, epoch int, metric string, value double"), path)
+    return spark.read.parquet(path)

@@ -1 +1,82 @@
-"""Registered queries."""
+"""File sources and sinks, checked by a round trip: data derived from the
+given tables is written to the shared folder with one operator and read back
+with its counterpart.  These register no SQL (the driver checks rows only);
+``tests/test_io.py`` checks the contents."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..catalog import query
+from ..functions import tokens as T
+from ..operators.tokens import sentence_corpus
+from ..session import shared_path
+from ..sinks import writers as Wr
+from ..sources import tables
+from ..sources import text as Tx
+from ..sources import vectors as Vs
+from .common import scored_labelled
+
+
+@query("src_lines")
+def q_src_lines(spark, sf):
+    """Document texts written as a line file, read back stripped and numbered."""
+    path = shared_path(spark, "lines")
+    tables.documents(spark, sf, "text").write.text(path)
+    return Tx.read_lines(spark, path, numbered=True)
+
+
+@query("src_tsv")
+def q_src_tsv(spark, sf):
+    """Labelled reviews as a header TSV (quoting off), read back with an explicit schema."""
+    path = shared_path(spark, "tsv")
+    lab = tables.labelled_documents(spark, sf)
+    review = F.regexp_replace("text", r"[\t\r\n]+", " ")
+    (lab.select(F.concat(F.lit('"'), F.col("doc_id").cast("string"), F.lit('"')).alias("id"),
+                F.col("label").alias("sentiment"), review.alias("review"))
+        .write.option("sep", "\t").option("header", True).option("quote", "").option("escape", "")
+        .csv(path))
+    return Tx.read_tsv(spark, path)
+
+
+@query("src_vectors_text")
+def q_src_vectors_text(spark, sf):
+    """Word vectors written as a text vector file, read back (last line wins)."""
+    path = shared_path(spark, "vectext")
+    Wr.write_vectors_text(Vs.bound_vectors(spark, sf), path, header=False)
+    v = Vs.read_vector_text(spark, path)
+    return v.select("token", F.size("vec").alias("dim"))
+
+
+@query("src_vectors_w2v")
+def q_src_vectors_w2v(spark, sf):
+    """The same with the ``n dim`` header line (format conversion + reader)."""
+    path = shared_path(spark, "w2vtext")
+    Wr.write_vectors_text(Vs.bound_vectors(spark, sf), path, header=True)
+    v = Vs.read_vector_text(spark, path, header=True)
+    return v.select("token", F.size("vec").alias("dim"))
+
+
+@query("sink_vectors")
+def q_sink_vectors(spark, sf):
+    path = shared_path(spark, "vectors")
+    Wr.write_vectors(Vs.bound_vectors(spark, sf), path)
+    return Vs.read_vectors_parquet(spark, path).select("token", F.size("vec").alias("dim"))
+
+
+@query("sink_report")
+def q_sink_report(spark, sf):
+    """Prediction report (sheets ``all`` / ``wrong``), read back."""
+    path = shared_path(spark, "report")
+    Wr.write_report(scored_labelled(spark, sf).select("doc_id", "text", "label", "pred"), path)
+    return spark.read.parquet(path).select("doc_id", "label", "pred", "sheet")
+
+
+@query("sink_sentences")
+def q_sink_sentences(spark, sf):
+    """Sentence corpus written as JSON lines, read back with its schema."""
+    path = shared_path(spark, "sentences")
+    sc = sentence_corpus(tables.documents(spark, sf))
+    Wr.write_sentences(sc, path)
+    back = spark.read.schema("doc_id long, sent_no int, words array<string>").json(path)
+    return back.select("doc_id", "sent_no", F.size("words").alias("n"))

@@ -38,8 +38,7 @@ _TFIDF = (f"SELECT doc_id, token, tf, round(w / sqrt(sum(w * w) OVER (PARTITION
 
 @query("tfidf", _TFIDF)
 def q_tfidf(spark, sf):
-    tf = Wt.term_counts(word_tokens_long(spark, sf))
-    w = Wt.tfidf(tf, Wt.idf(tf, sentences_labelled(spark, sf)))
+    _, _, w = Wt.fit_transform_tfidf(word_tokens_long(spark, sf), sentences_labelled(spark, sf))
     return w.select("doc_id", "token", "tf", rnd("w").alias("w"))
 
 
@@ -107,6 +106,6 @@ def q_binarize(spark, sf):
        f"row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, token) AS rank FROM ({_TFIDF})) WHERE rank <= 10")
 def q_top_terms(spark, sf):
     """Flagship: top 10 tf-idf terms of every labelled document."""
-    tf = Wt.term_counts(word_tokens_long(spark, sf))
-    w = Wt.tfidf(tf, Wt.idf(tf, sentences_labelled(spark, sf))).withColumn("w", rnd("w"))
+    _, _, w = Wt.fit_transform_tfidf(word_tokens_long(spark, sf), sentences_labelled(spark, sf))
+    w = w.withColumn("w", rnd("w"))
     return Wt.top_terms(w, 10).select("doc_id", "token", "w", F.col("rank").cast("bigint").alias("rank"))

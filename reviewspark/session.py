@@ -76,3 +76,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (for written tables)."""
+    base = ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"

@@ -26,8 +26,24 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy row-local text work at least one task per core.
+
+    A scan yields one task per file split; a table stored as one unsplittable
+    file (one row group) would run every regex and tokeniser in a single
+    task.  Only then is it round-robin repartitioned to the default
+    parallelism; a large table already has more splits than cores and is left
+    alone (no shuffle).  The partition count is known at planning time, so the
+    check runs no job.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return table(spark, sf_dir, "documents", *(columns or ("doc_id", "text")))
+    return spread(table(spark, sf_dir, "documents", *(columns or ("doc_id", "text"))))
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str, label: str = "quality") -> DataFrame:
@@ -58,4 +74,4 @@ def language_target(spark: SparkSession, sf_dir: str, lang: str = "en") -> DataF
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages", "page_id", "html")
+    return spread(table(spark, sf_dir, "pages", "page_id", "html"))
