@@ -44,13 +44,17 @@ def fit_rbf_svm(train: DataFrame, dim: int, vec: str = "vec", label: str = "labe
     def feats(df):
         return df.withColumn("features", array_to_vector(rff(F.col(vec))))
 
-    svm = LinearSVC(labelCol=label, regParam=reg_param, maxIter=50, standardization=False).fit(feats(train))
+    from ..session import materialize
+    # mapped once and read back: the solver iterates over it
+    train_feats = materialize(feats(train).select(label, "features"), "rff-train")
+    svm = LinearSVC(labelCol=label, regParam=reg_param, maxIter=50, standardization=False).fit(train_feats)
 
     def with_margin(df):
         out = svm.transform(feats(df))
         return out.withColumn("margin", F.element_at(vector_to_array("rawPrediction"), 2))
 
-    platt_in = with_margin(train).withColumn("m", array_to_vector(F.array("margin")))
+    platt_in = (with_margin(train).drop("rawPrediction", "prediction", "features")
+                .withColumn("m", array_to_vector(F.array("margin"))))
     platt = LogisticRegression(featuresCol="m", labelCol=label, regParam=0.0).fit(platt_in)
 
     def predict(df):

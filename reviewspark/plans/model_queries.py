@@ -21,6 +21,7 @@ from ..operators.tokens import explode_tokens
 from ..operators.vectors import doc_vectors
 from ..sources import tables
 from ..sources.vectors import bound_vectors
+from ..session import materialize
 from .common import rnd
 
 
@@ -30,7 +31,10 @@ def _target(spark, sf):
 
 
 def _fit_predict(pipeline, spark, sf):
-    data = L.with_token_columns(_target(spark, sf))
+    # the solver passes over the data many times: tokens are computed once and
+    # read back from the shared folder
+    data = materialize(L.with_token_columns(_target(spark, sf)).select("doc_id", "label", "split", "tokens"),
+                       "model-input")
     model = pipeline.fit(data.where("split = 'train'"))
     return model.transform(data.where("split = 'val'"))
 
@@ -63,7 +67,7 @@ def q_rbf_svm_predict(spark, sf):
     docs = _target(spark, sf)
     long = explode_tokens(docs, T.review_words("text"))
     vecs = doc_vectors(long, bound_vectors(spark, sf))
-    data = docs.select("doc_id", "label", "split").join(vecs, "doc_id")
+    data = materialize(docs.select("doc_id", "label", "split").join(vecs, "doc_id"), "doc-vectors")
     predict = fit_rbf_svm(data.where("split = 'train'"), dim=64, vec="vec", gamma=1.0)
     out = predict(data.where("split = 'val'"))
     return out.select("doc_id", "label", rnd("prob").alias("prob"), "prediction")
