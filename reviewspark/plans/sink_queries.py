@@ -80,3 +80,14 @@ def q_sink_sentences(spark, sf):
     Wr.write_sentences(sc, path)
     back = spark.read.schema("doc_id long, sent_no int, words array<string>").json(path)
     return back.select("doc_id", "sent_no", F.size("words").alias("n"))
+
+
+@query("stream_clean")
+def q_stream_clean(spark, sf):
+    """The documents table as a file stream: sentence normaliser + token count,
+    processed with an available-now trigger into a Parquet sink, read back."""
+    from ..streaming.rowlocal import clean_and_count, document_stream, run_available_now
+    out = shared_path(spark, "stream-out")
+    run_available_now(clean_and_count(document_stream(spark, sf, glob="documents.parquet")),
+                      out, shared_path(spark, "stream-ckpt"))
+    return spark.read.parquet(out)
