@@ -15,7 +15,14 @@ from ..sinks import writers as Wr
 from ..sources import tables
 from ..sources import text as Tx
 from ..sources import vectors as Vs
-from .common import scored_labelled
+from ..oracle import sqltext as S
+from ..sources.vectors import SQL_BOUND_VECTORS
+from .common import SQL_SCORED, scored_labelled
+
+_SQL_VEC_DIMS = f"SELECT token, CAST(len(vec) AS INTEGER) AS dim FROM ({SQL_BOUND_VECTORS})"
+_SQL_SENT = ("SELECT doc_id, CAST(generate_subscripts(sw, 1) - 1 AS INTEGER) AS sent_no, "
+             "CAST(len(unnest(sw)) AS INTEGER) AS n FROM (SELECT doc_id, list_transform("
+             + S.sentence_split(S.ascii_only("text")) + ", lambda s: " + S.review_words("s") + ") AS sw FROM documents)")
 
 
 @query("src_lines")
@@ -39,7 +46,7 @@ def q_src_tsv(spark, sf):
     return Tx.read_tsv(spark, path)
 
 
-@query("src_vectors_text")
+@query("src_vectors_text", _SQL_VEC_DIMS)
 def q_src_vectors_text(spark, sf):
     """Word vectors written as a text vector file, read back (last line wins)."""
     path = shared_path(spark, "vectext")
@@ -48,7 +55,7 @@ def q_src_vectors_text(spark, sf):
     return v.select("token", F.size("vec").alias("dim"))
 
 
-@query("src_vectors_w2v")
+@query("src_vectors_w2v", _SQL_VEC_DIMS)
 def q_src_vectors_w2v(spark, sf):
     """The same with the ``n dim`` header line (format conversion + reader)."""
     path = shared_path(spark, "w2vtext")
@@ -57,14 +64,17 @@ def q_src_vectors_w2v(spark, sf):
     return v.select("token", F.size("vec").alias("dim"))
 
 
-@query("sink_vectors")
+@query("sink_vectors", _SQL_VEC_DIMS)
 def q_sink_vectors(spark, sf):
     path = shared_path(spark, "vectors")
     Wr.write_vectors(Vs.bound_vectors(spark, sf), path)
     return Vs.read_vectors_parquet(spark, path).select("token", F.size("vec").alias("dim"))
 
 
-@query("sink_report")
+@query("sink_report",
+       f"SELECT doc_id, label, pred, 'all' AS sheet FROM ({SQL_SCORED}) UNION ALL "
+       f"SELECT doc_id, label, pred, 'wrong' AS sheet FROM ({SQL_SCORED}) "
+       f"WHERE (label < 0.5 AND pred > 0.5) OR (label > 0.5 AND pred < 0.5)")
 def q_sink_report(spark, sf):
     """Prediction report (sheets ``all`` / ``wrong``), read back."""
     path = shared_path(spark, "report")
@@ -72,7 +82,7 @@ def q_sink_report(spark, sf):
     return spark.read.parquet(path).select("doc_id", "label", "pred", "sheet")
 
 
-@query("sink_sentences")
+@query("sink_sentences", _SQL_SENT)
 def q_sink_sentences(spark, sf):
     """Sentence corpus written as JSON lines, read back with its schema."""
     path = shared_path(spark, "sentences")
@@ -82,7 +92,9 @@ def q_sink_sentences(spark, sf):
     return back.select("doc_id", "sent_no", F.size("words").alias("n"))
 
 
-@query("stream_clean")
+@query("stream_clean",
+       f"SELECT doc_id, text, CAST(len({S.word_tokens('text')}) AS INTEGER) AS n_tokens FROM "
+       f"(SELECT doc_id, {S.clean_sentence('text')} AS text FROM documents)")
 def q_stream_clean(spark, sf):
     """The documents table as a file stream: sentence normaliser + token count,
     processed with an available-now trigger into a Parquet sink, read back."""
