@@ -76,14 +76,11 @@ def split_complement(df: DataFrame, val: DataFrame, key: str = "doc_id") -> Data
 
 def with_folds(df: DataFrame, k: int = 3, seed=42, label: str = "label", key: str = "doc_id",
                name: str = "fold") -> DataFrame:
-    """Stratified folds: within each label, rows in seeded order are dealt
-    round-robin to ``k`` folds, so fold sizes per label differ by at most one.
-
-    The per-label rank comes from one global rank over ``(label, shuffle key)``
-    minus the label's first rank, so no label's rows are gathered in one task.
+    """Stratified folds: rows ordered by ``(label, seeded shuffle key)`` are
+    dealt round-robin to ``k`` folds by their global rank.  A label's rows
+    hold consecutive ranks, so within every label the fold sizes differ by at
+    most one; no per-label window (a label can be a third of the data) and no
+    join on the low-cardinality label column.
     """
     ranked = dense_index(df, [F.col(label)] + shuffle_order(seed, key), name="_g")
-    starts = ranked.groupBy(label).agg(F.min("_g").alias("_s"))
-    return (ranked.join(starts, label)
-                  .withColumn(name, F.pmod(F.col("_g") - F.col("_s"), F.lit(k)).cast("int"))
-                  .drop("_g", "_s"))
+    return ranked.withColumn(name, F.pmod(F.col("_g") - F.lit(1), F.lit(k)).cast("int")).drop("_g")

@@ -99,7 +99,7 @@ def _cnn(spark, sf, epochs):
     from ..ml import cnn
     from .cnn_inputs import cnn_inputs
     rows, emb = cnn_inputs(spark, sf)
-    spec = cnn.CnnSpec(max_len=200, dim=64)
+    spec = cnn.CnnSpec(max_len=200, dim=64, lr=3e-3)
     train, val = rows.where("split = 'train'"), rows.where("split = 'val'")
     theta, history = cnn.fit(train, spec, emb, epochs=epochs, batch_frac=0.5, val=val)
     return cnn, spec, theta, emb, val, history
@@ -122,3 +122,15 @@ def q_fit_history(spark, sf):
     path = shared_path(spark, "history")
     append_history(spark.createDataFrame(history, "run_id string, epoch int, metric string, value double"), path)
     return spark.read.parquet(path)
+
+
+@query("word2vec_neighbours")
+def q_word2vec_neighbours(spark, sf):
+    """Ten nearest words (cosine) of the corpus's most frequent word in the
+    trained word2vec space."""
+    from ..ml.word2vec import subsampled_sentences
+    docs = tables.documents(spark, sf)
+    _, model = fit_word2vec(docs, return_model=True)
+    top = (subsampled_sentences(docs).select(F.explode("words").alias("w")).groupBy("w").count()
+           .orderBy(F.desc("count"), F.asc("w")).first())          # one word
+    return model.findSynonyms(top["w"], 10).select("word", rnd("similarity").alias("similarity"))

@@ -58,7 +58,7 @@ def q_downsample(spark, sf):
 
 
 @query("stratified_folds",
-       f"SELECT doc_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY {_ORDER}) - 1) % 3 AS INTEGER) AS fold "
+       f"SELECT doc_id, label, CAST((row_number() OVER (ORDER BY label, {_ORDER}) - 1) % 3 AS INTEGER) AS fold "
        f"FROM ({LABELLED})")
 def q_stratified_folds(spark, sf):
     lab = tables.labelled_documents(spark, sf).select("doc_id", "label")
