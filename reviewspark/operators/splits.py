@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import md5_bucket, md5_key
+from ..functions.hashing import md5_bucket, md5_key, md5_unit
 from .ranking import dense_index
 
 
@@ -34,39 +34,71 @@ def with_split_bucket(df: DataFrame, frac: float = 0.2, seed=42, key: str = "doc
     return df.withColumn("split", F.when(is_val, "val").otherwise("train"))
 
 
+def shuffle_key(seed, key: str = "doc_id"):
+    """The seeded shuffle order as one comparable struct (md5 hex, then key)."""
+    return F.struct(md5_key(seed, key).alias("h"), F.col(key).alias("k"))
+
+
 def downsample(df: DataFrame, n: int, seed=42, key: str = "doc_id") -> DataFrame:
-    """Seeded shuffle, then the first ``n`` rows (TakeOrderedAndProject: a
-    per-partition top-n and a merge of n rows per partition, no global sort)."""
-    return df.orderBy(*shuffle_order(seed, key)).limit(n)
+    """Seeded shuffle, then the first ``n`` rows.
+
+    A plain ``orderBy().limit(n)`` sends ``n`` rows per input partition into
+    one task.  The md5 order is first narrowed by a prefix filter: rows whose
+    md5 value lies below a threshold ``t`` are exactly a prefix of the order
+    (md5 hex has fixed width, so string order is numeric order), ``t`` is
+    chosen to keep about ``4n`` rows, and the top ``n`` of that prefix is the
+    exact answer once the prefix holds at least ``n`` rows (checked; ``t``
+    doubles otherwise).
+    """
+    total = df.count()
+    t = 1.0 if total <= n else min(1.0, 4.0 * n / total)
+    while True:
+        cand = df if t >= 1.0 else df.where(md5_unit(seed, key) < F.lit(t))
+        if t >= 1.0 or cand.count() >= n:
+            return cand.orderBy(*shuffle_order(seed, key)).limit(n)
+        t = min(1.0, 2.0 * t)
 
 
 def _n(df: DataFrame):
     return df.select(F.count(F.lit(1))).scalar()
 
 
+def key_at(df: DataFrame, key_col, position) -> "F.Column":
+    """The order key found at 1-based ``position`` (a scalar subquery).
+
+    Only the narrow key projection is ranked (distributed rank, checkpointed),
+    so a split of a wide table becomes a predicate ``key <= boundary`` on the
+    original rows: no join back and no copy of the wide columns.
+    """
+    narrow = df.select(key_col.alias("_key"))
+    ranked = dense_index(narrow, [F.col("_key")], name="_r")
+    return ranked.where(F.col("_r") == position).select("_key").scalar()
+
+
 def with_split_tail(df: DataFrame, frac: float = 0.2, seed=42, key: str = "doc_id") -> DataFrame:
     """Seeded shuffle; the last ``int(frac*N)`` rows are validation."""
-    ranked = dense_index(df, shuffle_order(seed, key), name="_rank")
+    ks = shuffle_key(seed, key)
     n = _n(df)
-    n_val = F.floor(F.lit(float(frac)) * n)
-    return ranked.withColumn("split", F.when(F.col("_rank") > n - n_val, "val").otherwise("train")) \
-                 .drop("_rank")
+    cut = n - F.floor(F.lit(float(frac)) * n)            # last training rank
+    is_val = F.when(cut < 1, F.lit(True)).otherwise(F.coalesce(ks > key_at(df, ks, cut), F.lit(True)))
+    return df.withColumn("split", F.when(is_val, "val").otherwise("train"))
 
 
 def with_split_exact(df: DataFrame, frac: float = 0.2, seed=42, key: str = "doc_id") -> DataFrame:
-    """Exactly ``round(frac*N)`` (half to even) rows in validation."""
-    ranked = dense_index(df, shuffle_order(seed, key), name="_rank")
+    """Exactly ``round(frac*N)`` (half to even) rows in validation (the first ones
+    in the seeded order)."""
+    ks = shuffle_key(seed, key)
     n_val = F.bround(F.lit(float(frac)) * _n(df), 0)
-    return ranked.withColumn("split", F.when(F.col("_rank") <= n_val, "val").otherwise("train")) \
-                 .drop("_rank")
+    is_val = F.when(n_val < 1, F.lit(False)).otherwise(F.coalesce(ks <= key_at(df, ks, n_val), F.lit(False)))
+    return df.withColumn("split", F.when(is_val, "val").otherwise("train"))
 
 
 def with_split_tail_ordered(df: DataFrame, frac: float = 0.2, key: str = "doc_id") -> DataFrame:
     """No shuffle: the first ``int(N*(1-frac))`` rows by ``key`` train, the rest validate."""
-    ranked = dense_index(df, [F.col(key)], name="_rank")
+    ks = F.struct(F.col(key).alias("k"))
     n_train = F.floor(_n(df) * F.lit(1.0 - frac))
-    return ranked.withColumn("split", F.when(F.col("_rank") <= n_train, "train").otherwise("val")) \
-                 .drop("_rank")
+    is_train = F.when(n_train < 1, F.lit(False)).otherwise(F.coalesce(ks <= key_at(df, ks, n_train), F.lit(False)))
+    return df.withColumn("split", F.when(is_train, "train").otherwise("val"))
 
 
 def split_complement(df: DataFrame, val: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -16,7 +16,8 @@ from ..functions.clean import clean_review
 from ..functions.fixed import MAX_SEQUENCE_LENGTH, SEED, VALIDATION_SPLIT
 from ..operators.encode import encode_oov_zero
 from ..operators.ranking import dense_index
-from ..operators.splits import shuffle_order
+from ..operators.joins import lookup
+from ..operators.splits import downsample, shuffle_order
 from ..operators.vocab import vocab_first_seen
 
 
@@ -28,9 +29,13 @@ def prepare_train_val(docs: DataFrame, train_size: int = 1000, seed=SEED, max_le
     ``rank`` is the seeded shuffle position; the first ``train_size`` ranks are
     kept and the last ``int(val_frac * n)`` of them validate.
     """
-    cleaned = docs.select("doc_id", clean_review("text").alias("text"), F.col("label").cast("int"))
-    ranked = dense_index(cleaned, shuffle_order(seed), name="rank")
-    sample = ranked.where(F.col("rank") <= train_size)
+    # pick the sample on the key column alone (prefix-filtered top-n), rank
+    # those <= train_size keys, and join them back: the bound is the
+    # parameter, so the keys are broadcast
+    keys = downsample(docs.select("doc_id"), train_size, seed)
+    ranked_keys = dense_index(keys, shuffle_order(seed), name="rank")
+    picked = lookup(docs, ranked_keys, "doc_id", "inner", bound_rows=train_size)
+    sample = picked.select("doc_id", "rank", clean_review("text").alias("text"), F.col("label").cast("int"))
     n = sample.select(F.count(F.lit(1))).scalar()
     n_val = F.floor(F.lit(float(val_frac)) * n)
     sample = sample.withColumn("split", F.when(F.col("rank") > n - n_val, "val").otherwise("train"))
