@@ -88,3 +88,15 @@ def test_cnn_score_equals_numpy_forward(spark):
     got = {r.doc_id: r.pred for r in cnn.score(df, spec, theta, emb).collect()}
     want, _ = cnn.forward(spec, spec.unpack(theta), emb, x)
     assert np.allclose([got[i] for i in range(len(y))], want, atol=1e-6)
+
+
+def test_cnn_fit_resumes_from_state(spark, tmp_path):
+    spec, emb, x, y = _tiny()
+    rows = [(i, int(y[i]), [int(v) for v in x[i]]) for i in range(len(y))]
+    df = spark.createDataFrame(rows, "doc_id long, label int, x array<int>")
+    full, hist_full = cnn.fit(df, spec, emb, epochs=2, batch_frac=1.0, dropout=False)
+    path = str(tmp_path / "state")
+    cnn.fit(df, spec, emb, epochs=1, batch_frac=1.0, dropout=False, state_path=path)
+    resumed, hist = cnn.fit(df, spec, emb, epochs=2, batch_frac=1.0, dropout=False, state_path=path)
+    assert np.allclose(full, resumed)
+    assert [h[:3] for h in hist] == [h[:3] for h in hist_full]
