@@ -17,6 +17,7 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from ..functions.clean import clean_sentence
 from ..functions.tokens import ngram_range, word_tokens
 
 
-class _Identity(Transformer, HasInputCol, HasOutputCol):
+class _Identity(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     def __init__(self, inputCol=None, outputCol=None):
         super().__init__()
         self._set(inputCol=inputCol, outputCol=outputCol)
@@ -33,7 +34,7 @@ class _Identity(Transformer, HasInputCol, HasOutputCol):
         return df.withColumn(self.getOutputCol(), F.col(self.getInputCol()))
 
 
-class SmoothIdf(Estimator, HasInputCol, HasOutputCol):
+class SmoothIdf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Estimator: term-frequency vector -> tf x (ln((1+n)/(1+df)) + 1).
 
     ``useIdf=False`` passes term frequencies through unchanged.

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..catalog import query
 from ..operators import weights as Wt
 from ..operators.splits import split_bucket
-from ..operators.vocab import vocab_alpha
 from .common import SQL_FREQ_LONG, SQL_SENTENCES, SQL_WORD_LONG, rnd, sentences_labelled
 from .common import freq_tokens_long, word_tokens_long
 from ..functions import tokens as T
@@ -70,7 +69,7 @@ def _split_tokens(spark, sf):
 @query("term_counts_val", f"SELECT doc_id, token, tf FROM ({_VAL_TF})")
 def q_term_counts_val(spark, sf):
     (_, tr_long), (_, va_long) = _split_tokens(spark, sf)
-    vocab = vocab_alpha(tr_long)
+    vocab = tr_long.select("token").distinct()          # the fitted vocabulary as a token set
     return Wt.term_counts_in_vocab(va_long, vocab)
 
 

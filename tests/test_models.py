@@ -100,3 +100,16 @@ def test_cnn_fit_resumes_from_state(spark, tmp_path):
     resumed, hist = cnn.fit(df, spec, emb, epochs=2, batch_frac=1.0, dropout=False, state_path=path)
     assert np.allclose(full, resumed)
     assert [h[:3] for h in hist] == [h[:3] for h in hist_full]
+
+
+def test_pipeline_with_smooth_idf_saves_and_loads(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    data = L.with_token_columns(docs.withColumn("label", (F.col("lang") == "en").cast("int")))
+    model = L.svm_pipeline(1e-3, 5).fit(data)
+    path = str(tmp_path / "svm")
+    model.write().overwrite().save(path)
+    back = PipelineModel.load(path)
+    a = [r.prediction for r in model.transform(data).orderBy("doc_id").collect()]
+    b = [r.prediction for r in back.transform(data).orderBy("doc_id").collect()]
+    assert a == b
