@@ -92,3 +92,36 @@ def test_ngrams_short_input(spark):
 def test_strip_line(spark):
     df = spark.createDataFrame([("\t  x y \r\n",)], "s string")
     assert df.select(C.strip_line("s")).first()[0] == "x y"
+
+
+def _plain_review_clean(s: str) -> str:
+    s = re.sub(r"(?is)<script\b[^>]*>.*?</script\s*>", "", s)
+    s = re.sub(r"(?is)<style\b[^>]*>.*?</style\s*>", "", s)
+    s = re.sub(r"(?s)<!--.*?-->", "", s)
+    s = re.sub(r"(?s)<[^>]*>", "", s)
+    for ent, txt in __import__("reviewspark.functions.fixed", fromlist=["x"]).HTML_ENTITIES:
+        s = s.replace(ent, txt)
+    return re.sub(r"[^A-Za-z0-9(),!?'`]", " ", s)
+
+
+def _plain_token_chain(s: str, stops) -> list:
+    words = s.split()
+    words = [w for w in words if w.isascii() and w.isalpha()]
+    words = [w.lower() for w in words]
+    words = [w for w in words if w not in stops]
+    return [w for w in words if len(w) > 1]
+
+
+def test_token_chain_matches_plain_python_on_documents(spark):
+    from reviewspark.functions.fixed import STOP_WORDS
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(50)
+    rows = docs.select("doc_id", "text", T.clean_tokens(C.clean_review("text")).alias("t")).collect()
+    stops = set(STOP_WORDS)
+    for r in rows:
+        assert r.t == _plain_token_chain(_plain_review_clean(r.text or ""), stops), r.doc_id
+
+
+def test_pages_review_clean_matches_plain_python(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html")
+    for r in pages.select("html", C.clean_review("html").alias("c")).collect():
+        assert r.c == _plain_review_clean(r.html)
