@@ -21,6 +21,7 @@ from ..operators.tokens import explode_tokens
 from ..operators.vectors import doc_vectors
 from ..sources import tables
 from ..sources.vectors import bound_vectors
+from ..functions.fixed import MAX_SEQUENCE_LENGTH
 from ..session import materialize
 from .common import rnd
 
@@ -98,8 +99,8 @@ def q_search_run(spark, sf):
 def _cnn(spark, sf, epochs):
     from ..ml import cnn
     from .cnn_inputs import cnn_inputs
-    rows, emb = cnn_inputs(spark, sf)
-    spec = cnn.CnnSpec(max_len=200, dim=64, lr=3e-3)
+    rows, emb = cnn_inputs(spark, sf, max_len=MAX_SEQUENCE_LENGTH)
+    spec = cnn.CnnSpec(max_len=MAX_SEQUENCE_LENGTH, dim=64, lr=3e-3)
     train, val = rows.where("split = 'train'"), rows.where("split = 'val'")
     theta, history = cnn.fit(train, spec, emb, epochs=epochs, batch_frac=0.5, val=val)
     return cnn, spec, theta, emb, val, history
