@@ -103,3 +103,37 @@ def q_stream_clean(spark, sf):
     run_available_now(clean_and_count(document_stream(spark, sf, glob="documents.parquet")),
                       out, shared_path(spark, "stream-ckpt"))
     return spark.read.parquet(out)
+
+
+def _sql_stream_encode():
+    from .common import SQL_FREQ_LONG, sql_long
+    from .vocab_queries import _SQL_VFREQ, _sql_encoded, _sql_seq_out
+    docs = f"SELECT doc_id, {S.clean_sentence('text')} AS text FROM documents"
+    return _sql_seq_out(_sql_encoded(sql_long(docs, S.freq_tokens("text")), _SQL_VFREQ, docs, "idx < 20000"))
+
+
+@query("stream_encode", _sql_stream_encode())
+def q_stream_encode(spark, sf):
+    """Every document arriving as a stream, encoded with the frequency
+    vocabulary fitted (batch) on the labelled texts and capped at 20000: a
+    stream-static lookup per micro-batch via ``foreachBatch``."""
+    from ..functions.clean import clean_sentence
+    from ..functions.arrays import join_ints
+    from ..operators.encode import encode_drop_oov
+    from ..operators.tokens import explode_tokens
+    from ..operators.vocab import capped, vocab_freq
+    from ..session import materialize
+    from ..streaming.rowlocal import document_stream, run_batches_available_now
+    from .common import sentences_labelled
+    fitted = sentences_labelled(spark, sf)
+    vocab = materialize(capped(vocab_freq(explode_tokens(fitted, T.freq_tokens("text"))), 20000), "stream-vocab")
+
+    def per_batch(batch):
+        cleaned = batch.select("doc_id", clean_sentence("text").alias("text"))
+        enc = encode_drop_oov(cleaned, T.freq_tokens("text"), vocab, cap=20000)
+        return enc.select("doc_id", F.size("seq").cast("bigint").alias("n"), join_ints("seq").alias("seq"))
+
+    out = shared_path(spark, "stream-encode")
+    run_batches_available_now(document_stream(spark, sf, glob="documents.parquet"), per_batch, out,
+                              shared_path(spark, "stream-encode-ckpt"))
+    return spark.read.parquet(out).select("doc_id", "n", "seq")

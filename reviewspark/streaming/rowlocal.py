@@ -41,3 +41,18 @@ def run_available_now(df: DataFrame, sink_path: str, checkpoint_path: str) -> No
          .option("checkpointLocation", checkpoint_path)
          .trigger(availableNow=True).outputMode("append").start())
     q.awaitTermination()
+
+
+def run_batches_available_now(stream: DataFrame, per_batch, sink_path: str, checkpoint_path: str) -> None:
+    """Apply a batch function to every micro-batch (``foreachBatch``) and write
+    its result under ``sink_path/batch_id=<id>`` with overwrite, so a retried
+    batch replaces its own output (idempotent, exactly-once with the
+    checkpoint).  Lets per-batch shuffles (an encode's regroup by document,
+    whose rows all arrive in the same batch) run without streaming state."""
+
+    def handle(batch_df, batch_id):
+        per_batch(batch_df).write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch_id={batch_id}")
+
+    q = (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_path)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
