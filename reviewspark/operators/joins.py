@@ -32,3 +32,24 @@ def lookup(big: DataFrame, small: DataFrame, on, how: str = "inner",
 def scalar(df_one_row: DataFrame) -> DataFrame:
     """A one-row table (a global count): always safe to broadcast."""
     return F.broadcast(df_one_row)
+
+
+def skew_split_join(big: DataFrame, small: DataFrame, key: str, key_counts: DataFrame,
+                    count_col: str = "n", max_hot: int = 10_000, how: str = "inner") -> DataFrame:
+    """Join with hot keys split off, exactly.
+
+    ``key_counts(key, n)`` gives the rows per key on the big side.  A key is
+    hot when it holds at least ``1/max_hot`` of all rows, so there are at
+    most ``max_hot`` hot keys (a proven bound): their rows of ``small`` are
+    broadcast and the big side's hot rows join them map-side, never
+    gathering one key in one task.  All other keys go through an ordinary
+    shuffle join in which no key is hot.  The union is the full join.
+    """
+    total = key_counts.select(F.sum(count_col)).scalar()
+    hot_keys = key_counts.where(F.col(count_col) * F.lit(max_hot) >= total).select(key)
+    hot = F.broadcast(hot_keys)
+    small_hot = small.join(hot, key, "left_semi")
+    small_cold = small.join(hot, key, "left_anti")
+    big_hot = big.join(hot, key, "left_semi").join(F.broadcast(small_hot), key, how)
+    big_cold = big.join(hot, key, "left_anti").join(small_cold, key, how)
+    return big_hot.unionByName(big_cold)

@@ -79,9 +79,14 @@ def fit_transform_tfidf(tokens_long: DataFrame, docs: DataFrame, key: str = "doc
     cut, survives executor loss) and read twice.
     """
     from ..session import materialize
+    from .joins import skew_split_join
     tf = materialize(term_counts(tokens_long, key), "tf")
-    idf_table = idf(tf, docs)
-    return tf, idf_table, tfidf(tf, idf_table, key)
+    idf_table = materialize(idf(tf, docs), "idf")
+    # tokens present in a large share of the documents (``the``) are joined
+    # by broadcast, the rest by a shuffle join without hot keys
+    raw = (skew_split_join(tf, idf_table.select("token", "idf"), "token", idf_table, count_col="df")
+           .withColumn("w", F.col("tf") * F.col("idf")).drop("idf"))
+    return tf, idf_table, _l2(raw.select(key, "token", "tf", "w"), "w", key)
 
 
 def binarize(df: DataFrame, col: str, threshold: float = 0.0, name: str = "bin") -> DataFrame:

@@ -48,3 +48,18 @@ def test_capped_vocab_is_broadcast_and_whole(spark):
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     lens = {r.doc_id: len(r.seq) for r in enc.collect()}
     assert all(lens[d] == 60 for d, _ in rows)
+
+
+def test_skew_split_join_equals_plain_join(spark):
+    from reviewspark.operators.joins import skew_split_join
+    big = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"k{i % 50}") for i in range(3000)],
+                                "id long, token string")
+    small = spark.createDataFrame([("hot", 1.5)] + [(f"k{j}", float(j)) for j in range(0, 50, 2)],
+                                  "token string, v double")
+    counts = big.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    got = skew_split_join(big, small, "token", counts, max_hot=10)
+    want = big.join(small, "token")
+    assert got.count() == want.count()
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
