@@ -15,7 +15,6 @@ from ..functions.fixed import STOP_WORDS
 from ..operators.tokens import corpus_union, explode_tokens, ngram_table, sentence_corpus
 from ..oracle import sqltext as S
 from ..sources import tables
-from ..sources.text import pos_neg_source
 from .common import LABELLED, SQL_REVIEWS, SQL_SENTENCES, reviews_labelled, sentences_labelled
 
 
@@ -35,12 +34,15 @@ _PAGES = "SELECT page_id, html FROM pages"
        f"SELECT d.doc_id, {S.clean_sentence('d.text')} AS text, CASE WHEN l.quality = 1 THEN 1 ELSE 0 END AS label "
        f"FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IN (0, 1)")
 def q_src_pos_neg(spark, sf):
-    """Two labelled sources (positive, negative) -> one cleaned ``(doc_id, text, label)`` table."""
-    docs = tables.documents(spark, sf, "doc_id", "text")
-    labels = tables.table(spark, sf, "labels", "doc_id", "quality")
-    pos = docs.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
-    neg = docs.join(labels.where("quality = 0").select("doc_id"), "doc_id", "left_semi")
-    return pos_neg_source(pos, neg)
+    """Labelled pair source -> one cleaned ``(doc_id, text, label)`` table.
+
+    Here both classes live in one table, so a single scan joined to
+    ``labels`` assigns the label (a union of two filtered branches would read
+    the corpus twice); two real files go through
+    ``sources.text.read_pos_neg_files`` -> ``pos_neg_source`` (tested).
+    """
+    lab = tables.labelled_documents(spark, sf).where(F.col("label").isin(0, 1))
+    return lab.select("doc_id", C.clean_sentence("text").alias("text"), "label")
 
 
 @query("clean_sentence", f"SELECT doc_id, {S.clean_sentence('text')} AS text FROM documents")
