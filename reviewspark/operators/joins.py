@@ -29,11 +29,6 @@ def lookup(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(bounded_side(small, bound_rows), on, how)
 
 
-def scalar(df_one_row: DataFrame) -> DataFrame:
-    """A one-row table (a global count): always safe to broadcast."""
-    return F.broadcast(df_one_row)
-
-
 def skew_split_join(big: DataFrame, small: DataFrame, key: str, key_counts: DataFrame,
                     count_col: str = "n", max_hot: int = 10_000, how: str = "inner") -> DataFrame:
     """Join with hot keys split off, exactly.

@@ -13,19 +13,11 @@ from pyspark.sql import functions as F
 from ..functions import tokens as T
 
 
-def with_tokens(df: DataFrame, tokens: Column, key: str = "doc_id", name: str = "tokens") -> DataFrame:
-    return df.select(key, tokens.alias(name))
-
-
 def explode_tokens(df: DataFrame, tokens: Column, key: str = "doc_id") -> DataFrame:
     """``(key, pos, token)`` with 0-based positions."""
     return df.select(key, F.posexplode(tokens).alias("pos", "token"))
 
 
-def explode_array(df: DataFrame, col: str, key: str = "doc_id", value: str = "token") -> DataFrame:
-    return df.select(key, F.posexplode(col).alias("pos", value))
-
-
 def sentence_corpus(df: DataFrame, text: str = "text", key: str = "doc_id",
                     remove_stop_words: bool = False, ascii_fold: bool = True,
                     keep: tuple[str, ...] = ()) -> DataFrame:

@@ -106,7 +106,7 @@ def q_stream_clean(spark, sf):
 
 
 def _sql_stream_encode():
-    from .common import SQL_FREQ_LONG, sql_long
+    from .common import sql_long
     from .vocab_queries import _SQL_VFREQ, _sql_encoded, _sql_seq_out
     docs = f"SELECT doc_id, {S.clean_sentence('text')} AS text FROM documents"
     return _sql_seq_out(_sql_encoded(sql_long(docs, S.freq_tokens("text")), _SQL_VFREQ, docs, "idx < 20000"))

@@ -3,7 +3,6 @@ gradient against finite differences; data-parallel gradient independent of
 the partitioning; scoring equals a plain numpy forward."""
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from reviewspark.ml import cnn
