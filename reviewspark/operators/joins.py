@@ -13,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# rows we accept to broadcast when the bound is proven (a 20k-word vocabulary
-# is a few hundred KB; this leaves ample headroom)
-BROADCAST_ROW_BUDGET = 2_000_000
+# rows we accept to broadcast when the bound is proven or checked (a lookup
+# row is a token and an index or a short vector: ~1M rows stay well under the
+# broadcast size limits)
+BROADCAST_ROW_BUDGET = 1_000_000
 
 
 def bounded_side(small: DataFrame, bound_rows: int | None) -> DataFrame:
@@ -24,9 +25,30 @@ def bounded_side(small: DataFrame, bound_rows: int | None) -> DataFrame:
     return small
 
 
+def checked_rows(small: DataFrame, max_rows: int = BROADCAST_ROW_BUDGET) -> int | None:
+    """Row count of ``small`` if it is at most ``max_rows``, else ``None``.
+
+    Counts at most ``max_rows + 1`` rows (``limit`` stops the scan early), so
+    the check costs bounded work even when the table is huge.  Meant for
+    fitted tables that are already written (vocabularies, vector tables).
+    """
+    n = small.limit(max_rows + 1).count()
+    return n if n <= max_rows else None
+
+
 def lookup(big: DataFrame, small: DataFrame, on, how: str = "inner",
-           bound_rows: int | None = None) -> DataFrame:
-    return big.join(bounded_side(small, bound_rows), on, how)
+           bound_rows: int | None = None, check: bool = False,
+           max_rows: int = BROADCAST_ROW_BUDGET) -> DataFrame:
+    """Join ``big`` to a lookup table.  ``bound_rows`` is a bound known by
+    construction (a cap); with ``check=True`` and no bound, the lookup side is
+    counted up to the budget first.  Within the budget it is broadcast (the
+    big side is not shuffled at all); beyond it, a shuffle join (AQE splits
+    skewed partitions)."""
+    if bound_rows is None and check:
+        bound_rows = checked_rows(small, max_rows)
+    if bound_rows is not None and bound_rows <= max_rows:
+        small = F.broadcast(small)
+    return big.join(small, on, how)
 
 
 def skew_split_join(big: DataFrame, small: DataFrame, key: str, key_counts: DataFrame,
