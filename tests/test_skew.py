@@ -63,3 +63,22 @@ def test_skew_split_join_equals_plain_join(spark):
     assert got.exceptAll(want.select(*got.columns)).count() == 0
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_checked_broadcast_within_and_beyond_budget(spark):
+    from reviewspark.operators.joins import checked_rows, lookup
+    big = spark.range(1000).select(F.col("id"), (F.col("id") % 7).cast("string").alias("token"))
+    small = spark.createDataFrame([(str(i), i) for i in range(7)], "token string, idx long")
+    assert checked_rows(small, 10) == 7
+    assert checked_rows(small, 5) is None
+    inside = lookup(big, small, "token", check=True, max_rows=10)
+    assert "BroadcastHashJoin" in inside._jdf.queryExecution().sparkPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        beyond = lookup(big, small, "token", check=True, max_rows=5)
+        assert "BroadcastHashJoin" not in beyond._jdf.queryExecution().sparkPlan().toString()
+        assert beyond.count() == inside.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
