@@ -124,9 +124,10 @@ def exact_classes(df: DataFrame, text: str = "text", id_col: str = "doc_id",
     alone = marked.where(~F.col("maybe")).select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "sha")
     repeated = marked.where("maybe").drop("maybe", "key")
-    groups = repeated.groupBy("sha").agg(
+    # written, so that the join deals both sides anew and AQE can split the partition of a hot text
+    groups = materialize(repeated.groupBy("sha").agg(
         F.min(F.struct(F.col("id").isNull().alias("null"), "id", "row")).alias("first"),
-        F.count(F.lit(1)).alias("group_size"))
+        F.count(F.lit(1)).alias("group_size")), "text-groups")
     back = repeated.join(groups, "sha").select(
         "id", F.col("first.id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "sha")
     return alone.unionByName(back).select(
