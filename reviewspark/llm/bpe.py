@@ -23,10 +23,11 @@ import struct
 import numpy as np
 from pyspark.sql import DataFrame
 
+from .common import worker_memory
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 _CACHE = 400_000  # chunks remembered per worker
 _BASE = 0x100
-_MEMORY: dict = {}
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -140,10 +141,10 @@ def _chunks(text: str) -> list[str]:
 
 
 def codec(path: str, pattern: str) -> Codec:
-    key = (path, pattern)
-    if key not in _MEMORY:
-        _MEMORY[key] = Codec(path, pattern)
-    return _MEMORY[key]
+    kept, key = worker_memory(), ("bpe", path, pattern)
+    if key not in kept:
+        kept[key] = Codec(path, pattern)
+    return kept[key]
 
 
 def default_path() -> str:

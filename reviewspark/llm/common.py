@@ -33,3 +33,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+def worker_memory() -> dict:
+    """What a Python worker keeps between tasks.
+
+    Package functions travel by value, so the globals of this package live only as long as one task.
+    """
+    import sys
+    import types
+
+    holder = sys.modules.setdefault("_kept_between_tasks", types.ModuleType("_kept_between_tasks"))
+    return holder.__dict__.setdefault("kept", {})

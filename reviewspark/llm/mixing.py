@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import running_total
-from .common import WORD
+from .common import WORD, fresh, materialize
+from .exact_dedup import RepeatFilter
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_SOURCES = 100_000
@@ -129,13 +130,16 @@ def _run_words(begin: Column, end: Column, lo: Column, hi: Column) -> Column:
     return F.greatest(F.lit(0), F.least(end, hi) - F.greatest(begin, lo))
 
 
+def seeded_key(id_: Column, text: Column, seed: int) -> Column:
+    return F.md5(F.concat_ws("\0", F.lit(str(seed)), id_.cast("string"), F.md5(F.coalesce(text, F.lit("")))))
+
+
 def mix(df: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", weights=WEIGHTS,
         share: float = 1.5, max_repeat: int = 2, block: int = BLOCK, seed: int = 42) -> DataFrame:
-    """One row per row of ``df``: id, size, source, source_size, target, taken (words, repeats counted)."""
+    """One row per row of ``df``: id, size, source, source_size, target, taken (words, repeats counted), key."""
     spark = df.sparkSession
     sized = df.select(F.col(id_col).alias("id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
-                      F.md5(F.concat_ws("\0", F.lit(str(seed)), F.col(id_col).cast("string"),
-                                        F.md5(F.coalesce(F.col(text), F.lit(""))))).alias("key"))
+                      seeded_key(F.col(id_col), F.col(text), seed).alias("key"))
     order = [F.col("source").isNull(), F.col("source"), F.col("key"), F.col("id"), F.col("size")]
     placed = running_total(sized, order, "size", "upto")
     placed = placed.checkpoint(eager=True)
@@ -156,4 +160,31 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", id_col: str =
     taken = (F.col("whole") * F.col("size") + _run_words(begin, end, lo, hi)
              + _run_words(begin, end, F.lit(0), hi - ring))  # the run may wrap around the ring
     return j.select(F.col("id").alias(id_col), "size", "source", "source_size", "target",
-                    taken.cast("long").alias("taken"))
+                    taken.cast("long").alias("taken"), "key")
+
+
+def mixed_documents(df: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id",
+                    seed: int = 42, **how) -> DataFrame:
+    """The mix as rows of ``df``: a document that the mix takes whole c times stands c times.
+
+    At most two documents of a source are taken in part; those go to the nearer whole number.  Documents of
+    size 0 weigh nothing and stay once.  Texts are not shuffled but for rows that are not taken exactly once:
+    those are found by a Bloom filter and joined, all others pass straight through.
+    """
+    copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int")
+    plan_ = mix(df, text, source, id_col, seed=seed, **how).select(
+        F.col("key").alias("_mix_key"), F.col("source").alias("_mix_source"), copies.alias("_copies")).where("_copies <> 1")
+    # rows equal in id, text and source share a key: their copies add up and are dealt to them evenly
+    odd = materialize(plan_.groupBy("_mix_key", "_mix_source").agg(F.sort_array(F.collect_list("_copies")).alias("_copies"))
+                      .withColumn("_mix_hash", F.xxhash64("_mix_key")), "mix-odd")
+    flt = RepeatFilter.build(odd, "_mix_hash", max(1, odd.count()), least=1)
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    key, maybe = fresh(df, "key"), fresh(df, "maybe")
+    keyed = flt.mark(df.withColumn(key, seeded_key(F.col(id_col), F.col(text), seed)), F.xxhash64(F.col(key)), maybe)
+    alone = keyed.where(~F.col(maybe)).select(*cols)
+    some = keyed.where(F.col(maybe))
+    joined = some.join(odd, (some[key] == odd["_mix_key"]) & some[source].eqNullSafe(odd["_mix_source"]), "left")
+    # of rows that share a key (they are alike) each stands as often as the first of them is taken
+    n = F.coalesce(F.element_at("_copies", 1), F.lit(1))
+    spread = joined.withColumn("_copies", F.explode(F.array_repeat(F.lit(0), n))).select(*cols)
+    return alone.unionByName(spread)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, chat, exact_dedup, mixing, near_dup, toxicity
+from . import bpe, chat, exact_dedup, mixing, near_dup, token_file, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -42,9 +42,15 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op5_token_file")
+def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    return token_file.token_file_round_trip(table(spark, sf_dir, "documents"))
+
+
 @query("op6_mixing")
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "key")
 
 
 @query("op8_byte_bpe")

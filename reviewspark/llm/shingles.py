@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from .common import worker_memory
+
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)                       # odd, so powers can be undone modulo 2^64
 _PINV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -30,13 +32,13 @@ def _byte_table() -> np.ndarray:
 
 
 _BYTE = _byte_table()
-_POWERS: dict[str, np.ndarray] = {"p": np.ones(1, np.uint64), "i": np.ones(1, np.uint64)}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers; those of a batch's usual size are kept, longer ones are made for the call."""
-    if len(_POWERS["p"]) >= n:
-        return _POWERS["p"], _POWERS["i"]
+    """The first ``n`` powers and their inverses; a usual run's are kept, longer ones are made for the call."""
+    kept = worker_memory().get("powers")
+    if kept is not None and len(kept[0]) >= n:
+        return kept
     size = max(n, _CHUNK + 1)
     made = []
     for base in (_P, _PINV):
@@ -44,7 +46,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         a[0] = 1
         made.append(np.multiply.accumulate(a))
     if size <= 2 * _CHUNK:
-        _POWERS["p"], _POWERS["i"] = made
+        worker_memory()["powers"] = tuple(made)
     return made[0], made[1]
 
 
