@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, chat, exact_dedup, mixing, near_dup, token_file, toxicity
+from . import bpe, chat, exact_dedup, mixing, near_dup, token_file, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -37,6 +37,21 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
 
+@query("op2_warc", """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY h, payload_bytes) AS last FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((
+           CAST('0x' || substr(h, CAST((5 * i) // 4 AS INT) + 1, 2) AS INT) >> CAST(3 - (5 * i) % 4 AS INT)) & 31) AS INT), 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM g""")
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    return warc.warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 @query("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -34,7 +34,7 @@ class Shard:
         self.temp = f"_tmp/{self.name}.{uuid.uuid4().hex}"
         self.part, self.seq = part, seq
         self.fs.create_dir(f"{base}/_tmp", recursive=True)
-        self.out = self.fs.open_output_stream(f"{base}/{self.temp}")
+        self.out = self.fs.open_output_stream(f"{base}/{self.temp}", compression=None)
         self.items = self.units = self.bytes = 0
         self.sha = hashlib.sha256()
 

@@ -242,7 +242,7 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
         for b in batches:
             for name, start in zip(b.column("name").to_pylist(), b.column("before").to_pylist()):
                 fs, base = open_fs(folder)
-                with fs.open_input_stream(f"{base}/{name}") as f:
+                with fs.open_input_stream(f"{base}/{name}", compression=None) as f:
                     if f.read(len(MAGIC)) != MAGIC:
                         raise ValueError(f"{name}: not a token file")
                     while head := f.read(struct.calcsize(_HEAD)):
