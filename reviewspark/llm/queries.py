@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, chat, exact_dedup, mixing, near_dup, token_file, toxicity, vafile, warc
+from . import bpe, chat, exact_dedup, mixing, near_dup, pii, token_file, toxicity, vafile, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -52,6 +52,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+@query("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
 @query("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
