@@ -140,6 +140,7 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", id_col: str =
     spark = df.sparkSession
     sized = df.select(F.col(id_col).alias("id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
                       seeded_key(F.col(id_col), F.col(text), seed).alias("key"))
+    sized = materialize(sized, "mix-sized")  # the range partitioning reads its input twice: not the texts
     order = [F.col("source").isNull(), F.col("source"), F.col("key"), F.col("id"), F.col("size")]
     placed = running_total(sized, order, "size", "upto")
     placed = placed.checkpoint(eager=True)
