@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from .common import worker_memory
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-_CACHE = 400_000  # chunks remembered per worker
+_CACHE = 300_000  # chunks remembered per worker
+_STEP = 500       # texts held as Python strings at a time
 _BASE = 0x100
 
 
@@ -140,6 +141,11 @@ def _chunks(text: str) -> list[str]:
     return out
 
 
+def _texts(column):
+    for i in range(0, len(column), _STEP):
+        yield [t or "" for t in column[i:i + _STEP].to_pylist()]
+
+
 def codec(path: str, pattern: str) -> Codec:
     kept, key = worker_memory(), ("bpe", path, pattern)
     if key not in kept:
@@ -163,7 +169,7 @@ def encode(df: DataFrame, text: str = "text", id_col: str = "doc_id", path: str
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            ids = codec(path, pattern).encode([t or "" for t in b.column(1).to_pylist()])
+            ids = [x for part in _texts(b.column(1)) for x in codec(path, pattern).encode(part)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ids, pa.large_binary()).cast(pa.binary()) if sum(map(len, ids)) < 1 << 31
                  else pa.array(ids, pa.large_binary()), pa.array([len(i) // 4 for i in ids], pa.int64())],
@@ -190,11 +196,10 @@ def round_trip(df: DataFrame, text: str = "text", id_col: str = "doc_id", path:
         import pyarrow as pa
         for b in batches:
             c = codec(path, pattern)
-            ids = c.encode([t or "" for t in b.column(1).to_pylist()])
+            rows = [(len(i) // 4, hashlib.sha256(i).hexdigest(), hashlib.sha256(c.decode(i)).hexdigest())
+                    for part in _texts(b.column(1)) for i in c.encode(part)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()),
-                 pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
-                 pa.array([hashlib.sha256(c.decode(i)).hexdigest() for i in ids], pa.string())],
+                [b.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string())))],
                 ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = df.schema[id_col].dataType.simpleString()
