@@ -423,6 +423,7 @@ def pii_report(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
     """id, n_email .. n_phone (base spans), base_sha256, spans (all, as kind:start:end)."""
     found = find_pii(docs, fit(docs, text, id_col), text, id_col)
     show = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
-        id_col, *[F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        id_col, *[count(k).alias(f"n_{k}") for k in KINDS],
         F.sha2(show("base"), 256).alias("base_sha256"), show("spans").alias("spans"))
