@@ -9,13 +9,16 @@ Banding.  ``ROWS`` bins make a band key, ``BANDS`` keys a document: at similarit
 with probability (1 - 0.75^5)^40 = 2e-5.  Rows of equal shingle sets are first reduced to one representative.
 
 Links.  Buckets (rows of one band key) are never paired up.
- 1. Each representative proposes to the bucket hub it shares most bands with: one pair per representative,
-    verified on the full sets, then connected components.
- 2. A bucket whose members are all in one component needs nothing more.  In the others each pair *across*
-    components has to be settled: members are dealt into blocks of ``BLOCK`` rows, pairs of blocks are compared
-    on 8-bit sketches inside tasks, and only pairs whose estimate reaches ``ESTIMATE`` (five standard
-    deviations under the threshold) go on to exact verification.  No bucket or candidate is capped.
- 3. Components of all verified links give the result.
+ 1. A bucket's hub is its member that meets most others over all bands (the original among its edited copies).
+    Each representative proposes to the hub it shares most bands with: one pair per representative, verified
+    on the full sets, then connected components.
+ 2. A bucket whose members are all in one component needs nothing more.  In the others members are dealt into
+    blocks of ``BLOCK`` rows, and pairs of blocks are compared on 8-bit sketches inside tasks.  Each row
+    proposes to the row of another component that it resembles most: again one pair a row, then components.
+ 3. In the buckets that are still open every pair *across* components is settled: pairs whose estimate reaches
+    ``ESTIMATE`` (five standard deviations under the threshold) are verified exactly, each in the first band
+    that it shares.  No bucket or candidate is capped.
+ 4. Components of all verified links give the result.
 
 Verification recomputes both full shingle sets from the texts; 100 * intersection >= 75 * union decides.
 
@@ -104,16 +107,18 @@ def _sketch_batches(batches):
             b.column(0), b.column(2), pa.array(n.astype(np.int64)),
             pa.array(np.concatenate(h1).astype(np.int64)), pa.array(np.concatenate(h2).astype(np.int64)),
             pa.ListArray.from_arrays(pa.array(offs), pa.array(keys[some])),
-            pa.array([x.tobytes() for x in sig], pa.binary())],
-            ["id", "th", "n", "h1", "h2", "bands", "sig"])
+            pa.array([x.tobytes() for x in sig], pa.binary()),
+            pa.array([x.tobytes() for x in keys.reshape(len(n), BANDS)], pa.binary())],
+            ["id", "th", "n", "h1", "h2", "bands", "sig", "bits"])
 
 
 def sketch_table(df: DataFrame, text: str, id_col: str) -> DataFrame:
-    """Written once: row, id, th (hash of the text), n, h1, h2 (identify the set), bands, sig."""
+    """Written once: row, id, th (hash of the text), n, h1, h2 (identify the set), bands, sig (8-bit sketch), bits
+    (the bands packed)."""
     kind = df.schema[id_col].dataType.simpleString()
     src = df.select(F.col(id_col).alias("id"), text_or_empty(text).alias("text"),
                     F.xxhash64(text_or_empty(text)).alias("th"))
-    out = src.mapInArrow(_sketch_batches, f"id {kind}, th long, n long, h1 long, h2 long, bands array<long>, sig binary")
+    out = src.mapInArrow(_sketch_batches, f"id {kind}, th long, n long, h1 long, h2 long, bands array<long>, sig binary, bits binary")
     return materialize(out.select(F.monotonically_increasing_id().alias("row"), "*"), "near-sketch")
 
 
@@ -178,67 +183,95 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def _cross_batches(batches):
-    """Pairs across components inside each (key, i, j) group of sorted rows: estimate on the sketches."""
-    import pyarrow as pa
+def _cross(key: int, rows: list[np.ndarray], best: bool):
+    """Yield (u, v, estimate) across the components of one pair of blocks, by their sketches.
 
-    def settle(rows):
-        side, comp, row, n, sig = rows
-        a = np.flatnonzero(side != 1)
-        b = np.flatnonzero(side != 0)  # side 2: both blocks are the same
-        for x in a:
-            y = b[(comp[b] != comp[x]) & (100 * np.minimum(n[b], n[x]) >= PERCENT * np.maximum(n[b], n[x]))]
-            y = y[(row[y] > row[x])] if side[x] == 2 else y
-            if len(y):
-                same = (sig[y] == sig[x]).mean(1)
-                y = y[(same - 1 / 256) / (1 - 1 / 256) >= ESTIMATE]
-                for z in y:
-                    yield min(row[x], row[z]), max(row[x], row[z])
-
-    def flush(parts):
-        found = list(settle([np.concatenate(p) for p in zip(*parts)]))
-        return found
-
-    held, held_key, out = [], None, []
-    schema = ["u", "v"]
-    for b in batches:
-        if not b.num_rows:
+    A pair is settled in the bucket of the first band it shares; with ``best`` a row proposes one partner only.
+    """
+    side, comp, row, n, sig, bands = rows
+    a = np.flatnonzero(side != 1)
+    b = np.flatnonzero(side != 0)  # side 2: both blocks are the same
+    if best:
+        a = np.arange(len(row))
+    for x in a:
+        other = b if not best or side[x] == 2 else np.flatnonzero(side != side[x])
+        y = other[(comp[other] != comp[x]) & (100 * np.minimum(n[other], n[x]) >= PERCENT * np.maximum(n[other], n[x]))]
+        if not best and side[x] == 2:
+            y = y[row[y] > row[x]]
+        if not len(y):
+            continue
+        same = ((sig[y] == sig[x]).mean(1) - 1 / 256) / (1 - 1 / 256)
+        near = same >= ESTIMATE
+        y, same = y[near], same[near]
+        if not len(y):
+            continue
+        if best:
+            k = np.lexsort((row[y], -same))[0]
+            yield row[x], row[y[k]], same[k]
             continue
-        key = np.stack([b.column(c).to_numpy() for c in ("key", "i", "j")], 1)
-        cols = [b.column(c).to_numpy() for c in ("side", "comp", "row", "n")]
-        sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint8).reshape(b.num_rows, -1)
-        cut = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [len(key)]])
-        for s, e in zip(cut[:-1], cut[1:]):
-            this = tuple(key[s])
-            if this != held_key and held:
-                out += flush(held)
-                held = []
-            held_key = this
-            held.append([c[s:e] for c in cols] + [sig[s:e]])
-        if len(out) > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], schema)
-            out = []
-    if held:
-        out += flush(held)
-    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], schema)
-
-
-def cross_pairs(buckets: DataFrame, label: DataFrame, sketch: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Candidate pairs (u, v) across components within buckets, by estimate, each once."""
+        shared = bands[y] == bands[x]
+        first = bands[x][shared.argmax(1)] == key
+        for z, e in zip(y[first], same[first]):
+            yield min(row[x], row[z]), max(row[x], row[z]), e
+
+
+def _cross_batches(best: bool):
+    def run(batches):
+        import pyarrow as pa
+
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        batch = lambda out: pa.RecordBatch.from_arrays(
+            [pa.array([x[k] for x in out], kinds[k]) for k in range(3)], ["u", "v", "e"])
+        held, held_key, out = [], None, []
+
+        def flush():
+            out.extend(_cross(held_key[0], [np.concatenate(p) for p in zip(*held)], best))
+            held.clear()
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key = np.stack([b.column(c).to_numpy() for c in ("key", "i", "j")], 1)
+            cols = [b.column(c).to_numpy() for c in ("side", "comp", "row", "n")]
+            cols += [np.frombuffer(b"".join(b.column(c).to_pylist()), t).reshape(b.num_rows, -1)
+                     for c, t in (("sig", np.uint8), ("bits", np.int64))]
+            cut = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [len(key)]])
+            for s, e in zip(cut[:-1], cut[1:]):
+                this = tuple(key[s])
+                if this != held_key and held:
+                    flush()
+                held_key = this
+                held.append([c[s:e] for c in cols])
+            if len(out) > 50_000:
+                yield batch(out)
+                out.clear()
+        if held:
+            flush()
+        yield batch(out)
+
+    return run
+
+
+def cross_pairs(buckets: DataFrame, label: DataFrame, sketch: DataFrame, best: bool = False,
+                block: int = BLOCK) -> DataFrame:
+    """Candidate pairs (u, v) across components within buckets, by estimate; with ``best`` one for each row u."""
     spark = buckets.sparkSession
     lab = buckets.join(label.withColumnRenamed("node", "row"), "row", "left")
     lab = materialize(lab.select("key", "row", F.coalesce("comp", "row").alias("comp")), "near-open")
     open_ = (lab.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
              .where("lo <> hi").select("key", F.ceil(F.col("m") / block).cast("int").alias("blocks")))
-    rows = lab.join(open_, "key").join(sketch.select("row", "n", "sig"), "row")
+    rows = lab.join(open_, "key").join(sketch.select("row", "n", "sig", "bits"), "row")
     rows = rows.withColumn("at", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"),
                        F.when(F.col("at") == F.col("other"), 2).when(F.col("at") < F.col("other"), 0).otherwise(1)
-                       .alias("side"), "comp", "row", "n", "sig")
+                       .alias("side"), "comp", "row", "n", "sig", "bits")
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
     dealt = rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(_cross_batches, "u long, v long").distinct()
+    found = dealt.mapInArrow(_cross_batches(best), "u long, v long, e double")
+    if not best:
+        return found.select("u", "v")
+    return found.groupBy("u").agg(F.max_by("v", F.struct("e", "v")).alias("v"))
 
 
 def near_classes(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -249,16 +282,20 @@ def near_classes(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
                                                                    F.count(F.lit(1)).alias("size")), "near-classes")
     reps = sketch.join(classes.select(F.col("rep").alias("row")), "row", "left_semi")
     keys = reps.select("row", F.explode("bands").alias("key"))
-    hubs = (keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("row").alias("o"), F.col("row").alias("hub"))).alias("h"),
-                                    F.count(F.lit(1)).alias("m"))
-            .where("m > 1").select("key", "h.hub"))
-    buckets = materialize(keys.join(hubs, "key"), "near-buckets")
+    sizes = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "near-bucket-sizes")
+    members = materialize(keys.join(sizes, "key"), "near-members")
+    met = members.groupBy("row").agg(F.sum("m").alias("met"))
+    ranked = members.select("key", "row").join(met, "row")
+    hubs = materialize(ranked.groupBy("key").agg(F.max(F.struct("met", F.xxhash64("row").alias("o"), F.col("row").alias("hub")))
+                                                 .alias("h")).select("key", "h.hub"), "near-hubs")
+    buckets = materialize(members.select("key", "row").join(hubs, "key"), "near-buckets")
     shared = buckets.where("row <> hub").groupBy("row", "hub").agg(F.count(F.lit(1)).alias("c"))
     best = shared.groupBy("row").agg(F.max(F.struct("c", F.xxhash64("hub").alias("o"), "hub")).alias("b"))
     links = verified(best.select(F.col("row").alias("u"), F.col("b.hub").alias("v")), sketch, df, text, id_col)
+    for best in (True, False):
+        found = cross_pairs(buckets.select("key", "row"), components(links), sketch, best)
+        links = materialize(links.unionByName(verified(found, sketch, df, text, id_col)), "near-links")
     label = components(links)
-    more = verified(cross_pairs(buckets.select("key", "row"), label, sketch), sketch, df, text, id_col)
-    label = components(links.unionByName(more))
     of = classes.join(label.select(F.col("node").alias("rep"), "comp"), "rep", "left").select(
         *same, F.coalesce("comp", "rep").alias("comp"))
     rows = sketch.select("row", "id", "th", *same)
@@ -270,7 +307,8 @@ def near_classes(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
 def near_dedup(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per row of ``df``: id, n_shingles, component_id, kept."""
     rows = near_classes(df, text, id_col)
-    least = rows.groupBy("comp").agg(F.min("id").alias("component_id"))
+    # written, so that the join deals both sides anew and AQE can split a large component
+    least = materialize(rows.groupBy("comp").agg(F.min("id").alias("component_id")), "near-least")
     out = rows.join(least, "comp")
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id",
                       F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -283,8 +321,8 @@ def drop_near_copies(df: DataFrame, text: str = "text", id_col: str = "doc_id")
     """
     rows = near_classes(df, text, id_col)
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
-    first = rows.groupBy("comp").agg(F.min_by("row", order).alias("row"), F.count(F.lit(1)).alias("size"))
-    groups = rows.join(first.where("size > 1").select("comp", F.col("row").alias("stays")), "comp")
+    first = rows.groupBy("comp").agg(F.min_by("row", order).alias("stays"), F.count(F.lit(1)).alias("size"))
+    groups = rows.join(materialize(first.where("size > 1").select("comp", "stays"), "near-first"), "comp")
     moved = materialize(groups.select("id", "th", (F.col("row") == F.col("stays")).alias("stays"),
                                       F.xxhash64("id", "th").alias("key")), "near-moved")
     flt = RepeatFilter.build(moved, "key", max(1, moved.count()), least=1)

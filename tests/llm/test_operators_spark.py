@@ -147,7 +147,8 @@ def test_cross_pairs_in_blocks(spark):
     """Small blocks give the pairs that one block gives."""
     rng = np.random.default_rng(1)
     sig = [bytes(rng.integers(0, 4, 200, dtype=np.uint8)) for _ in range(40)]
-    sketch = spark.createDataFrame([(i, 10, sig[i % 13]) for i in range(40)], "row long, n long, sig binary")
+    bits = np.ones(near_dup.BANDS, np.int64).tobytes()
+    sketch = spark.createDataFrame([(i, 10, sig[i % 13], bits) for i in range(40)], "row long, n long, sig binary, bits binary")
     buckets = spark.createDataFrame([(1, i) for i in range(40)], "key long, row long")
     label = spark.createDataFrame([(i, i % 5) for i in range(40)], "node long, comp long")
     a = {tuple(r) for r in near_dup.cross_pairs(buckets, label, sketch, block=1000).collect()}
@@ -155,6 +156,9 @@ def test_cross_pairs_in_blocks(spark):
     brute = {(i, j) for i in range(40) for j in range(i + 1, 40) if i % 5 != j % 5
              and (np.mean(np.frombuffer(sig[i % 13], np.uint8) == np.frombuffer(sig[j % 13], np.uint8)) - 1 / 256) / (1 - 1 / 256) >= near_dup.ESTIMATE}
     assert a == b == brute and a
+    one = near_dup.cross_pairs(buckets, label, sketch, best=True, block=7).collect()
+    assert len(one) == len({r.u for r in one}) == len({i for p in brute for i in p})
+    assert all((min(r), max(r)) in brute for r in one)
 
 
 def test_sketch_estimates_similarity():
