@@ -34,7 +34,7 @@ END_ID = 2
 MAGIC = b"FRVB0001"
 BLOCK_VALUES = 1 << 19
 ROLL_BYTES = 64 << 20
-_CACHE = 600_000
+_CACHE = 350_000  # chunks in a generation of a worker's memory
 _HEAD = "<IQQQ"
 
 # length of each of the four values of a control byte
@@ -82,16 +82,43 @@ class WordTokenizer:
         self.mark = special[0] if special else None
         self.mark_id = self.cutting.token_to_id(self.mark) if special else -1
         self.kind = "<u2" if self.plain.get_vocab_size() <= 1 << 16 else "<u4"
+        vocab = self.plain.get_vocab()
+        self.closes = np.zeros(max(vocab.values(), default=0) + 1, bool)  # tokens that end a pre-token
+        self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
-
-    def _learn(self, new: list[str]) -> None:
+        self.older: dict[str, bytes] = {}
+
+    def _letters(self, words: list[str]) -> bool:
+        """Encode words of plain letters in one call: each is one pre-token, and its last token says so."""
+        ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int64)
+        end = np.flatnonzero(self.closes[ids]) + 1
+        if len(end) != len(words) or end[-1] != len(ids):
+            return False
+        raw, lo, known = ids.astype(self.kind), 0, self.known
+        for c, hi in zip(words, end.tolist()):
+            known[c] = raw[lo:hi].tobytes()
+            lo = hi
+        return True
+
+    def _learn(self, new: set[str]) -> None:
         known, kind = self.known, self.kind
-        parts = {}
-        for c in new:  # letters with one closing mark: two pre-tokens
-            if c[-1] in ".,;:!?" and len(c) > 1 and c[:-1].isalpha():
-                parts[c] = (c[:-1], c[-1])
-        base = {p for two in parts.values() for p in two} | {c for c in new if c not in parts}
-        base = [c for c in base if c not in known]
+        parts, base = {}, set()
+        for c in new:  # letters with one closing mark are two pre-tokens; ASCII letters count lower-cased
+            word, mark = c, None
+            if not c.isalpha() and c[:-1].isalpha() and c[-1] in ".,;:!?":
+                word, mark = c[:-1], c[-1]
+            if word.isascii():
+                word = word.lower()
+            if mark is not None:
+                parts[c] = (word, mark)
+                base.add(mark)
+            elif word is not c and word != c:
+                parts[c] = (word,)
+            base.add(word)
+        base.difference_update(known)
+        plain = [c for c in base if c.isalpha() and (c.isascii() or max(c) < "\u0250" and c.lower().isalpha())]
+        if plain and self._letters(plain):
+            base.difference_update(plain)
         odd = [c for c in base if self.mark is None or "<" in c or ">" in c or "|" in c]
         rest = [c for c in base if not ("<" in c or ">" in c or "|" in c)] if self.mark is not None else []
         if rest:  # one call: the special mark cuts the chunks apart before anything else is done
@@ -104,17 +131,20 @@ class WordTokenizer:
                 lo = hi + 1
         for c in odd:
             known[c] = np.array(self.plain.encode(c, add_special_tokens=False).ids, kind).tobytes()
-        for c, (a, b) in parts.items():
-            known[c] = known[a] + known[b]
+        for c, two in parts.items():
+            known[c] = b"".join(map(known.__getitem__, two))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > _CACHE:
-            self.known = {"": b""}
+        if len(self.known) > _CACHE:  # the generation before stays at hand: frequent chunks move over
+            self.older, self.known = self.known, {"": b""}
         chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        new = {c for cs in chunks for c in cs if c not in known}
+        known, older = self.known, self.older
+        new = set().union(*chunks).difference(known)
+        if older:
+            known.update((c, older[c]) for c in new & older.keys())
+            new.difference_update(known)
         if new:
-            self._learn(list(new))
+            self._learn(new)
         get = known.__getitem__
         return [b"".join(map(get, cs)) for cs in chunks]
 
@@ -138,8 +168,8 @@ def encoded(df: DataFrame, text: str, id_col: str, path: str, end_id: int) -> Da
             width = int(t.kind[-1])
             raw = []
             texts = b.column(1)
-            for i in range(0, len(texts), 500):  # few texts at a time as Python strings
-                raw += [press.compress(x + end) for x in t.encode([s or "" for s in texts[i:i + 500].to_pylist()])]
+            for i in range(0, len(texts), 1000):  # few texts at a time as Python strings
+                raw += [press.compress(x + end) for x in t.encode([s or "" for s in texts[i:i + 1000].to_pylist()])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary()),
                                               pa.array([width] * len(raw), pa.int32())], ["id", "blob", "width"])
 
@@ -159,8 +189,9 @@ def frequencies(blobs: DataFrame) -> DataFrame:
         press, total = zstandard.ZstdDecompressor(), np.zeros(0, np.int64)
         for b in batches:
             width = b.column(1).to_numpy()
-            for x, w in zip(b.column(0), width):
-                c = np.bincount(_ids(x.as_py(), w, press))
+            for k in range(0, b.num_rows, 500):  # documents counted at a time
+                blobs_, widths = b.column(0)[k:k + 500].to_pylist(), width[k:k + 500]
+                c = np.bincount(np.concatenate([_ids(x, w, press) for x, w in zip(blobs_, widths)]))
                 if len(c) > len(total):
                     total = np.pad(total, (0, len(c) - len(total)))
                 total[:len(c)] += c
