@@ -1,11 +1,12 @@
 """Deterministic sharded WARC writer and reader.
 
-Records are range-sorted by page id and cut into shards of about ``shard_bytes`` payload by one global running
-total over the narrow (id, bytes) rows, so the cuts do not depend on Spark's sampling or partition count.
+Records are range-sorted by page id and cut into about ``SHARDS`` shards of equal payload (none under
+``LEAST_BYTES`` or over ``MOST_BYTES``) by one global running total over the narrow (id, bytes) rows, so the cuts
+do not depend on Spark's sampling or partition count.
 Each shard is sorted and written by one task as gzip members (one per record, fixed time stamps, record ids
 derived from page id and digest), and rolled to a new file by compressed size: equal input gives equal files.
 Headers and digests are made anew from the payload.  Files get temporary names, a manifest and a commit
-(``shards``).  The shard cuts travel with the tasks, at most ``MAX_SHARDS`` numbers: beyond that many, shards grow.
+(``shards``).  The shard cuts, one number a shard, travel with the tasks (100,000 numbers at 100 TB).
 
 Of records with equal payloads (SHA-1 and length) of at least ``min_payload`` bytes the one with the largest
 page id is the response and the others are revisits that refer to it; smaller ones are all responses.  Groups
@@ -33,9 +34,9 @@ from .common import materialize, shared_path, shuffle_partitions
 from .exact_dedup import RepeatFilter
 from .shards import MANIFEST, Shard, commit, manifest_batch, open_fs, spread
 
-SHARD_BYTES = 8 << 20
+SHARDS = 4096                                  # shards that a corpus is cut into ...
+LEAST_BYTES, MOST_BYTES = 1 << 20, 1 << 30     # ... as far as each holds this much payload
 ROLL_BYTES = 64 << 20
-MAX_SHARDS = 65_536
 DATE = "2024-01-01T00:00:00Z"
 _READ = 1 << 20
 
@@ -82,18 +83,18 @@ def _narrow(pages: DataFrame, html: str, id_col: str) -> DataFrame:
                                     F.octet_length(_body(html)).cast("long").alias("bytes")), "warc-digests")
 
 
-def _cuts(narrow: DataFrame, shard_bytes: int) -> np.ndarray:
-    """First ids of the shards after the first: at most ``MAX_SHARDS`` numbers."""
+def _cuts(narrow: DataFrame, shard_bytes: int | None) -> np.ndarray:
+    """First ids of the shards after the first: ``SHARDS`` numbers, or one per ``MOST_BYTES`` of payload."""
     sized = narrow.select("id", "digest", (F.col("bytes") + 512).alias("size"))
     total = sized.agg(F.sum("size")).first()[0] or 0
-    per = max(shard_bytes, -(-total // MAX_SHARDS))
+    per = shard_bytes or min(max(-(-total // SHARDS), LEAST_BYTES), MOST_BYTES)
     placed = running_total(sized, [F.col("id"), F.col("digest"), F.col("size")], "size", "before")
     first = placed.groupBy(F.floor(F.col("before") / per).alias("shard")).agg(F.min("id").alias("id")).collect()
     return np.array(sorted({r["id"] for r in first if r["shard"] > 0 and r["id"] is not None}), np.int64)
 
 
 def write_warc(pages: DataFrame, folder: str | None = None, html: str = "html", url: str = "url",
-               id_col: str = "page_id", min_payload: int = 0, shard_bytes: int = SHARD_BYTES,
+               id_col: str = "page_id", min_payload: int = 0, shard_bytes: int | None = None,
                roll_bytes: int = ROLL_BYTES) -> tuple[DataFrame, str]:
     """Write every row as a record; returns (manifest, folder)."""
     spark = pages.sparkSession
