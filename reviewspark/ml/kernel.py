@@ -36,7 +36,7 @@ def fourier_map(dim: int, n_features: int = 256, gamma: float = 1.0, seed: int =
 
 
 def fit_rbf_svm(train: DataFrame, dim: int, vec: str = "vec", label: str = "label",
-                n_features: int = 256, gamma: float = 1.0, reg_param: float = 1e-3, seed: int = 42):
+                n_features: int = 256, gamma: float = 1.0, reg_param: float = 1e-3, seed: int = 42, key: str = "doc_id"):
     """Returns a function ``DataFrame -> DataFrame`` adding ``margin``,
     ``prob`` and ``prediction``."""
     rff = fourier_map(dim, n_features, gamma, seed)
@@ -44,16 +44,22 @@ def fit_rbf_svm(train: DataFrame, dim: int, vec: str = "vec", label: str = "labe
     def feats(df):
         return df.withColumn("features", array_to_vector(rff(F.col(vec))))
 
+    from ..functions.hashing import md5_bucket
     from ..session import materialize
-    # mapped once and read back: the solver iterates over it
-    train_feats = materialize(feats(train).select(label, "features"), "rff-train")
-    svm = LinearSVC(labelCol=label, regParam=reg_param, maxIter=50, standardization=False).fit(train_feats)
+    # mapped once and read back: the solver iterates over it.  A fifth of the rows is held out of the SVM's fit and
+    # gives the margins that the probabilities are fitted on.
+    held = md5_bucket("platt", key, 100) < 20
+    mapped = materialize(feats(train).select(label, "features", held.alias("held")), "rff-train")
+    svm = LinearSVC(labelCol=label, regParam=reg_param, maxIter=50, standardization=False).fit(mapped.where("not held"))
 
-    def with_margin(df):
-        out = svm.transform(feats(df))
+    def margins(df):
+        out = svm.transform(df)
         return out.withColumn("margin", F.element_at(vector_to_array("rawPrediction"), 2))
 
-    platt_in = (with_margin(train).drop("rawPrediction", "prediction", "features")
+    def with_margin(df):
+        return margins(feats(df))
+
+    platt_in = (margins(mapped.where("held")).drop("rawPrediction", "prediction", "features")
                 .withColumn("m", array_to_vector(F.array("margin"))))
     platt = LogisticRegression(featuresCol="m", labelCol=label, regParam=0.0).fit(platt_in)
 

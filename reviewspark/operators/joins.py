@@ -13,41 +13,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# rows we accept to broadcast when the bound is proven or checked (a lookup
-# row is a token and an index or a short vector: ~1M rows stay well under the
-# broadcast size limits)
+# what we accept to broadcast when the bound is proven (a cap) or checked: both rows and bytes
 BROADCAST_ROW_BUDGET = 1_000_000
+BROADCAST_BYTE_BUDGET = 128 << 20
 
 
-def bounded_side(small: DataFrame, bound_rows: int | None) -> DataFrame:
-    if bound_rows is not None and bound_rows <= BROADCAST_ROW_BUDGET:
-        return F.broadcast(small)
-    return small
+def measured(small: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a written table: one partial + final aggregate, one row per task.
 
+    Bytes count the text and binary columns in full, 16 bytes a row for every other column.
+    """
+    wide = [c for c, t in small.dtypes if t in ("string", "binary")]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in wide), F.lit(16 * len(small.columns)))
+    r = small.agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("long")).alias("b")).first()
+    return r["n"], r["b"] or 0
 
-def checked_rows(small: DataFrame, max_rows: int = BROADCAST_ROW_BUDGET) -> int | None:
-    """Row count of ``small`` if it is at most ``max_rows``, else ``None``.
 
-    Counts at most ``max_rows + 1`` rows (``limit`` stops the scan early), so
-    the check costs bounded work even when the table is huge.  Meant for
-    fitted tables that are already written (vocabularies, vector tables).
-    """
-    n = small.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
+def fits(small: DataFrame, max_rows: int = BROADCAST_ROW_BUDGET, max_bytes: int = BROADCAST_BYTE_BUDGET) -> bool:
+    rows, size = measured(small)
+    return rows <= max_rows and size <= max_bytes
 
 
-def lookup(big: DataFrame, small: DataFrame, on, how: str = "inner",
-           bound_rows: int | None = None, check: bool = False,
-           max_rows: int = BROADCAST_ROW_BUDGET) -> DataFrame:
-    """Join ``big`` to a lookup table.  ``bound_rows`` is a bound known by
-    construction (a cap); with ``check=True`` and no bound, the lookup side is
-    counted up to the budget first.  Within the budget it is broadcast (the
-    big side is not shuffled at all); beyond it, a shuffle join (AQE splits
-    skewed partitions)."""
-    if bound_rows is None and check:
-        bound_rows = checked_rows(small, max_rows)
+def lookup(big: DataFrame, small: DataFrame, on, how: str = "inner", bound_rows: int | None = None,
+           check: bool = False, max_rows: int = BROADCAST_ROW_BUDGET, max_bytes: int = BROADCAST_BYTE_BUDGET) -> DataFrame:
+    """Join ``big`` to a lookup table.  ``bound_rows`` is a bound known by construction (a cap).  With
+    ``check=True`` the lookup side is written once and measured in rows and bytes.  Within the budget it is
+    broadcast (the big side is not shuffled at all); beyond it, a shuffle join (AQE splits skewed partitions)."""
     if bound_rows is not None and bound_rows <= max_rows:
-        small = F.broadcast(small)
+        return big.join(F.broadcast(small), on, how)
+    if check:
+        from ..session import materialize
+        small = materialize(small, "lookup")
+        if fits(small, max_rows, max_bytes):
+            small = F.broadcast(small)
     return big.join(small, on, how)
 
 

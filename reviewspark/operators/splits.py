@@ -8,10 +8,10 @@ SQL oracle.  Row-count-exact splits use the distributed global rank from
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import md5_bucket, md5_key, md5_unit
+from ..functions.hashing import md5_bucket, md5_key
 from .ranking import dense_index
 
 
@@ -39,40 +39,61 @@ def shuffle_key(seed, key: str = "doc_id"):
     return F.struct(md5_key(seed, key).alias("h"), F.col(key).alias("k"))
 
 
+BUCKETS = 1 << 16  # of the histograms below: a bound on their rows, whatever the table's size
+
+
+def _md5_cell(seed, key: str) -> "F.Column":
+    """The first four hex digits of the md5 key: a prefix of the shuffle order, 65,536 values."""
+    return F.conv(F.substring(md5_key(seed, key), 1, 4), 16, 10).cast("long")
+
+
+def _cell_at(cells: DataFrame, position) -> "F.Column":
+    """``(cell, before)`` of the cell in which the running count of ``cells(cell)`` reaches ``position``.
+
+    The histogram has at most ``BUCKETS`` rows, so the running sum over it is a bounded window.
+    """
+    upto = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    cum = hist.select("cell", "n", F.sum("n").over(upto).alias("upto")).where(F.col("upto") >= position)
+    return cum.select(F.min(F.struct("cell", (F.col("upto") - F.col("n")).alias("before")))).scalar()
+
+
 def downsample(df: DataFrame, n: int, seed=42, key: str = "doc_id") -> DataFrame:
     """Seeded shuffle, then the first ``n`` rows.
 
-    A plain ``orderBy().limit(n)`` sends ``n`` rows per input partition into
-    one task.  The md5 order is first narrowed by a prefix filter: rows whose
-    md5 value lies below a threshold ``t`` are exactly a prefix of the order
-    (md5 hex has fixed width, so string order is numeric order), ``t`` is
-    chosen to keep about ``4n`` rows, and the top ``n`` of that prefix is the
-    exact answer once the prefix holds at least ``n`` rows (checked; ``t``
-    doubles otherwise).
+    A plain ``orderBy().limit(n)`` sends ``n`` rows per input partition into one task.  A histogram of the md5
+    key's first four digits tells in which cell the n-th row lies; only rows up to that cell (``n`` and a
+    65,536th of the table at most, in expectation) enter the top n.  One plan, exact at every size.
     """
-    total = df.count()
-    t = 1.0 if total <= n else min(1.0, 4.0 * n / total)
-    while True:
-        cand = df if t >= 1.0 else df.where(md5_unit(seed, key) < F.lit(t))
-        if t >= 1.0 or cand.count() >= n:
-            return cand.orderBy(*shuffle_order(seed, key)).limit(n)
-        t = min(1.0, 2.0 * t)
+    last = _cell_at(df.select(_md5_cell(seed, key).alias("cell")), F.lit(n))["cell"]
+    cand = df.where(_md5_cell(seed, key) <= F.coalesce(last, F.lit(BUCKETS)))
+    return cand.orderBy(*shuffle_order(seed, key)).limit(n)
 
 
 def _n(df: DataFrame):
     return df.select(F.count(F.lit(1))).scalar()
 
 
-def key_at(df: DataFrame, key_col, position) -> "F.Column":
+def key_at(df: DataFrame, key_col, cell, position) -> "F.Column":
     """The order key found at 1-based ``position`` (a scalar subquery).
 
-    Only the narrow key projection is ranked (distributed rank, checkpointed),
-    so a split of a wide table becomes a predicate ``key <= boundary`` on the
-    original rows: no join back and no copy of the wide columns.
+    ``cell`` is a long that rises with the key and takes at most ``BUCKETS`` values.  Its histogram gives the cell
+    of the boundary; only that cell's keys are ranked.  A split of a wide table becomes a predicate
+    ``key <= boundary`` on the original rows: no sort of all keys, no join back, no copy of the wide columns.
     """
-    narrow = df.select(key_col.alias("_key"))
-    ranked = dense_index(narrow, [F.col("_key")], name="_r")
-    return ranked.where(F.col("_r") == position).select("_key").scalar()
+    narrow = df.select(key_col.alias("_key"), cell.alias("cell"))
+    at = _cell_at(narrow, position)
+    inside = narrow.where(F.col("cell") == at["cell"]).select("_key", (position - at["before"]).alias("_want"))
+    ranked = dense_index(inside, [F.col("_key")], name="_r")
+    return ranked.where(F.col("_r") == F.col("_want")).select(F.min("_key")).scalar()
+
+
+def _even_cell(df: DataFrame, key: str) -> "F.Column":
+    """``BUCKETS`` equal steps between the smallest and largest value of a number column (null: first cell)."""
+    ends = df.select(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    step = (F.col(key) - lo).cast("double") / F.greatest((hi - lo).cast("double"), F.lit(1.0)) * F.lit(BUCKETS - 1)
+    return F.coalesce(F.floor(step), F.lit(0)).cast("long")
 
 
 def with_split_tail(df: DataFrame, frac: float = 0.2, seed=42, key: str = "doc_id") -> DataFrame:
@@ -80,7 +101,7 @@ def with_split_tail(df: DataFrame, frac: float = 0.2, seed=42, key: str = "doc_i
     ks = shuffle_key(seed, key)
     n = _n(df)
     cut = n - F.floor(F.lit(float(frac)) * n)            # last training rank
-    is_val = F.when(cut < 1, F.lit(True)).otherwise(F.coalesce(ks > key_at(df, ks, cut), F.lit(True)))
+    is_val = F.when(cut < 1, F.lit(True)).otherwise(F.coalesce(ks > key_at(df, ks, _md5_cell(seed, key), cut), F.lit(True)))
     return df.withColumn("split", F.when(is_val, "val").otherwise("train"))
 
 
@@ -89,7 +110,7 @@ def with_split_exact(df: DataFrame, frac: float = 0.2, seed=42, key: str = "doc_
     in the seeded order)."""
     ks = shuffle_key(seed, key)
     n_val = F.bround(F.lit(float(frac)) * _n(df), 0)
-    is_val = F.when(n_val < 1, F.lit(False)).otherwise(F.coalesce(ks <= key_at(df, ks, n_val), F.lit(False)))
+    is_val = F.when(n_val < 1, F.lit(False)).otherwise(F.coalesce(ks <= key_at(df, ks, _md5_cell(seed, key), n_val), F.lit(False)))
     return df.withColumn("split", F.when(is_val, "val").otherwise("train"))
 
 
@@ -97,7 +118,7 @@ def with_split_tail_ordered(df: DataFrame, frac: float = 0.2, key: str = "doc_id
     """No shuffle: the first ``int(N*(1-frac))`` rows by ``key`` train, the rest validate."""
     ks = F.struct(F.col(key).alias("k"))
     n_train = F.floor(_n(df) * F.lit(1.0 - frac))
-    is_train = F.when(n_train < 1, F.lit(False)).otherwise(F.coalesce(ks <= key_at(df, ks, n_train), F.lit(False)))
+    is_train = F.when(n_train < 1, F.lit(False)).otherwise(F.coalesce(ks <= key_at(df, ks, _even_cell(df, key), n_train), F.lit(False)))
     return df.withColumn("split", F.when(is_train, "train").otherwise("val"))
 
 

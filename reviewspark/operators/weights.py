@@ -3,10 +3,11 @@
 Plan shape (see ``explain``): explode is row-local; ``groupBy(doc_id, token)``
 is fully combined map-side because one document's tokens come from one input
 row; document frequency is a partial+final aggregate by token; the document
-count ``N`` is a scalar subquery (computed once, no join); the tf x idf join
-is left to AQE (broadcast if the measured idf table is small, else a
-sort-merge join with skew splitting for hot tokens); the L2 norm is a window
-per document, bounded by the distinct terms of one text.
+count ``N`` is a scalar subquery (computed once, no join); joins of
+term counts with per-token tables split the hot tokens off
+(``joins.skew_split_join``) and read written tables, so a text is tokenised
+once; the L2 norm is a window per document, bounded by the distinct terms of
+one text.
 """
 
 from __future__ import annotations
@@ -20,9 +21,20 @@ def term_counts(tokens_long: DataFrame, key: str = "doc_id") -> DataFrame:
     return tokens_long.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def split_join(tf: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+    """Join written term counts with a written per-token table, hot tokens apart (``joins.skew_split_join``)."""
+    from .joins import skew_split_join
+    return skew_split_join(tf, table, "token", tf.groupBy("token").agg(F.count(F.lit(1)).alias("n")), how=how)
+
+
 def term_counts_in_vocab(tokens_long: DataFrame, vocab: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Term counts against a fitted vocabulary; tokens outside it are ignored."""
-    return term_counts(tokens_long.join(vocab.select("token"), "token", "left_semi"), key)
+    """Term counts against a fitted vocabulary; tokens outside it are ignored.
+
+    Counted first (one row per document and token), then joined: never a raw token row per occurrence.
+    """
+    from ..session import materialize
+    tf = materialize(term_counts(tokens_long, key), "tf-val")
+    return split_join(tf, materialize(vocab.select("token"), "token-set"), "left_semi")
 
 
 def n_docs(docs: DataFrame) -> Column:
@@ -53,17 +65,22 @@ def tfidf(tf: DataFrame, idf_table: DataFrame | None, key: str = "doc_id") -> Da
     if idf_table is None:
         raw = tf.withColumn("w", F.col("tf").cast("double"))
     else:
-        raw = (tf.join(idf_table.select("token", "idf"), "token")
-                 .withColumn("w", F.col("tf") * F.col("idf")).drop("idf"))
+        from ..session import materialize
+        tf = materialize(tf, "tf")
+        idf_table = materialize(idf_table.select("token", "idf"), "idf")
+        raw = split_join(tf, idf_table).withColumn("w", F.col("tf") * F.col("idf")).drop("idf")
     return _l2(raw.select(key, "token", "tf", "w"), "w", key)
 
 
 def tfidf_log(tf: DataFrame, docs: DataFrame) -> DataFrame:
     """Log-scaled tf-idf of the frequency tokeniser's matrix mode:
     ``(1 + ln tf) * ln(1 + N / (1 + df))``, not normalised."""
+    from ..session import materialize
+    from .joins import skew_split_join
     n = n_docs(docs)
-    df_t = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    return (tf.join(df_t, "token")
+    tf = materialize(tf, "tf")  # read twice: the texts are tokenised once
+    df_t = materialize(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "df")
+    return (skew_split_join(tf, df_t, "token", df_t, count_col="df")
               .select("doc_id", "token", "tf",
                       ((F.lit(1.0) + F.log(F.col("tf"))) *
                        F.log(F.lit(1.0) + n / (F.lit(1.0) + F.col("df")))).alias("w")))

@@ -19,6 +19,7 @@ from ..operators.ranking import dense_index
 from ..operators.joins import lookup
 from ..operators.splits import downsample, shuffle_order
 from ..operators.vocab import vocab_first_seen
+from ..session import materialize
 
 
 def prepare_train_val(docs: DataFrame, train_size: int = 1000, seed=SEED, max_len: int = MAX_SEQUENCE_LENGTH,
@@ -39,7 +40,9 @@ def prepare_train_val(docs: DataFrame, train_size: int = 1000, seed=SEED, max_le
     n = sample.select(F.count(F.lit(1))).scalar()
     n_val = F.floor(F.lit(float(val_frac)) * n)
     sample = sample.withColumn("split", F.when(F.col("rank") > n - n_val, "val").otherwise("train"))
-    tokens = T.clean_tokens("text")
+    # the sample's tokens (``train_size`` documents) are written once; vocabulary and encoding read them
+    sample = materialize(sample.select("doc_id", "rank", "label", "split", T.clean_tokens("text").alias("tk")), "sample-tokens")
+    tokens = F.col("tk")
     fit_rows = sample if fit_on == "all" else sample.where(F.col("split") == "train")
     long = fit_rows.select("rank", F.posexplode(tokens).alias("pos", "token"))
     vocab = vocab_first_seen(long, doc_order="rank")

@@ -1,7 +1,6 @@
 """File sources and sinks, checked by a round trip: data derived from the
 given tables is written to the shared folder with one operator and read back
-with its counterpart.  These register no SQL (the driver checks rows only);
-``tests/test_io.py`` checks the contents."""
+with its counterpart; the SQL twins see the values that come back."""
 
 from __future__ import annotations
 
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 from ..catalog import query
 from ..functions import tokens as T
 from ..operators.tokens import sentence_corpus
-from ..session import shared_path
+from ..session import materialize, shared_path
 from ..sinks import writers as Wr
 from ..sources import tables
 from ..sources import text as Tx
@@ -19,21 +18,39 @@ from ..oracle import sqltext as S
 from ..sources.vectors import SQL_BOUND_VECTORS
 from .common import SQL_SCORED, scored_labelled
 
-_SQL_VEC_DIMS = f"SELECT token, CAST(len(vec) AS INTEGER) AS dim FROM ({SQL_BOUND_VECTORS})"
+_SQL_VEC_DIMS = (f"SELECT token, CAST(len(vec) AS INTEGER) AS dim, round(list_sum(list_transform(vec, lambda x, i: "
+                 f"CAST(x AS DOUBLE) * i)), 4) AS checksum FROM ({SQL_BOUND_VECTORS})")
 _SQL_SENT = ("SELECT doc_id, CAST(generate_subscripts(sw, 1) - 1 AS INTEGER) AS sent_no, "
-             "CAST(len(unnest(sw)) AS INTEGER) AS n FROM (SELECT doc_id, list_transform("
+             "CAST(len(unnest(sw)) AS INTEGER) AS n, array_to_string(unnest(sw), ' ') AS words FROM (SELECT doc_id, list_transform("
              + S.sentence_split(S.ascii_only("text")) + ", lambda s: " + S.review_words("s") + ") AS sw FROM documents)")
 
 
-@query("src_lines")
+def _vector_rows(v):
+    """Per word the dimension and a checksum that sees every component and its place."""
+    terms = F.transform("vec", lambda x, i: x.cast("double") * (i + 1))
+    total = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+    return v.select("token", F.size("vec").alias("dim"), F.round(total, 4).alias("checksum"))
+
+
+@query("src_lines",
+       "SELECT text, count(*) AS n FROM (SELECT regexp_replace(unnest(string_split(text, chr(10))), '^\\s+|\\s+$', '', 'g') AS text "
+       "FROM documents) GROUP BY text")
 def q_src_lines(spark, sf):
-    """Document texts written as a line file, read back stripped and numbered."""
+    """Document texts written as a line file and read back stripped and numbered: how often each line stands
+    (the numbers are checked to run from 1 without gaps; file order itself depends on the writer)."""
     path = shared_path(spark, "lines")
     tables.documents(spark, sf, "text").write.text(path)
-    return Tx.read_lines(spark, path, numbered=True)
+    lines = materialize(Tx.read_lines(spark, path, numbered=True), "numbered-lines")
+    gaps = lines.agg(F.count(F.lit(1)).alias("n"), F.min("line_no").alias("lo"), F.max("line_no").alias("hi"),
+                     F.count_distinct("line_no").alias("d")).first()
+    if gaps["n"] and (gaps["lo"], gaps["hi"], gaps["d"]) != (1, gaps["n"], gaps["n"]):
+        raise ValueError("line numbers have gaps")
+    return lines.groupBy("text").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("src_tsv")
+@query("src_tsv",
+       "SELECT '\"' || d.doc_id || '\"' AS id, CAST(l.quality AS INTEGER) AS sentiment, "
+       "regexp_replace(d.text, '[\\t\\r\\n]+', ' ', 'g') AS review FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
 def q_src_tsv(spark, sf):
     """Labelled reviews as a header TSV (quoting off), read back with an explicit schema."""
     path = shared_path(spark, "tsv")
@@ -51,8 +68,7 @@ def q_src_vectors_text(spark, sf):
     """Word vectors written as a text vector file, read back (last line wins)."""
     path = shared_path(spark, "vectext")
     Wr.write_vectors_text(Vs.bound_vectors(spark, sf), path, header=False)
-    v = Vs.read_vector_text(spark, path)
-    return v.select("token", F.size("vec").alias("dim"))
+    return _vector_rows(Vs.read_vector_text(spark, path))
 
 
 @query("src_vectors_w2v", _SQL_VEC_DIMS)
@@ -60,15 +76,14 @@ def q_src_vectors_w2v(spark, sf):
     """The same with the ``n dim`` header line (format conversion + reader)."""
     path = shared_path(spark, "w2vtext")
     Wr.write_vectors_text(Vs.bound_vectors(spark, sf), path, header=True)
-    v = Vs.read_vector_text(spark, path, header=True)
-    return v.select("token", F.size("vec").alias("dim"))
+    return _vector_rows(Vs.read_vector_text(spark, path, header=True))
 
 
 @query("sink_vectors", _SQL_VEC_DIMS)
 def q_sink_vectors(spark, sf):
     path = shared_path(spark, "vectors")
     Wr.write_vectors(Vs.bound_vectors(spark, sf), path)
-    return Vs.read_vectors_parquet(spark, path).select("token", F.size("vec").alias("dim"))
+    return _vector_rows(Vs.read_vectors_parquet(spark, path))
 
 
 @query("sink_report",
@@ -89,7 +104,7 @@ def q_sink_sentences(spark, sf):
     sc = sentence_corpus(tables.documents(spark, sf))
     Wr.write_sentences(sc, path)
     back = spark.read.schema("doc_id long, sent_no int, words array<string>").json(path)
-    return back.select("doc_id", "sent_no", F.size("words").alias("n"))
+    return back.select("doc_id", "sent_no", F.size("words").alias("n"), F.array_join("words", " ").alias("words"))
 
 
 @query("stream_clean",

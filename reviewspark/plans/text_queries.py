@@ -12,9 +12,10 @@ from ..catalog import query
 from ..functions import clean as C
 from ..functions import tokens as T
 from ..functions.fixed import STOP_WORDS
-from ..operators.tokens import corpus_union, explode_tokens, ngram_table, sentence_corpus
+from ..operators.tokens import explode_tokens, ngram_table, sentence_corpus
 from ..oracle import sqltext as S
 from ..sources import tables
+from ..sources.text import label_code
 from .common import LABELLED, SQL_REVIEWS, SQL_SENTENCES, reviews_labelled, sentences_labelled
 
 
@@ -34,15 +35,12 @@ _PAGES = "SELECT page_id, html FROM pages"
        f"SELECT d.doc_id, {S.clean_sentence('d.text')} AS text, CASE WHEN l.quality = 1 THEN 1 ELSE 0 END AS label "
        f"FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IN (0, 1)")
 def q_src_pos_neg(spark, sf):
-    """Labelled pair source -> one cleaned ``(doc_id, text, label)`` table.
-
-    Here both classes live in one table, so a single scan joined to
-    ``labels`` assigns the label (a union of two filtered branches would read
-    the corpus twice); two real files go through
-    ``sources.text.read_pos_neg_files`` -> ``pos_neg_source`` (tested).
-    """
-    lab = tables.labelled_documents(spark, sf).where(F.col("label").isin(0, 1))
-    return lab.select("doc_id", C.clean_sentence("text").alias("text"), "label")
+    """Labelled pair source: a positive and a negative table, united and cleaned, with the code of the class name."""
+    lab = tables.labelled_documents(spark, sf).withColumnRenamed("label", "quality")
+    pos = lab.where("quality = 1").select("doc_id", "text", F.lit("pos").alias("class"))
+    neg = lab.where("quality = 0").select("doc_id", "text", F.lit("neg").alias("class"))
+    both = pos.unionByName(neg)
+    return both.select("doc_id", C.clean_sentence("text").alias("text"), label_code("class").alias("label"))
 
 
 @query("clean_sentence", f"SELECT doc_id, {S.clean_sentence('text')} AS text FROM documents")
@@ -151,17 +149,18 @@ def q_sentence_corpus(spark, sf):
 
 
 @query("corpus_union",
-       f"SELECT doc_id, sent_no, label, CAST(len(w) AS BIGINT) AS n FROM ({_sql_sentence_words(LABELLED, extra=', label')}) "
-       f"UNION ALL SELECT doc_id, sent_no, -1 AS label, CAST(len(w) AS BIGINT) AS n FROM "
+       f"SELECT doc_id, sent_no, label, array_to_string(w, ' ') AS words FROM ({_sql_sentence_words(LABELLED, extra=', label')}) "
+       f"UNION ALL SELECT doc_id, sent_no, -1 AS label, array_to_string(w, ' ') AS words FROM "
        f"({_sql_sentence_words('SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)')})")
 def q_corpus_union(spark, sf):
     """Labelled and unlabelled sentence corpora in one table (``label`` -1 = unlabelled)."""
-    lab = tables.labelled_documents(spark, sf)
-    a = sentence_corpus(lab, keep=("label",))
-    b = sentence_corpus(tables.unlabelled_documents(spark, sf))
-    return corpus_union(a, b).select("doc_id", F.col("sent_no").cast("bigint").alias("sent_no"),
-                                     F.coalesce(F.col("label").cast("int"), F.lit(-1)).alias("label"),
-                                     F.size("words").cast("bigint").alias("n"))
+    # both halves come from one left join with the labels: the texts are read once
+    labels = tables.table(spark, sf, "labels", "doc_id", "quality").withColumn("has", F.lit(True))
+    every = tables.documents(spark, sf).join(labels, "doc_id", "left")
+    label = F.when(F.col("has"), F.col("quality")).otherwise(-1).cast("int")
+    corpus = sentence_corpus(every.select("doc_id", "text", label.alias("label")), keep=("label",))
+    return corpus.select("doc_id", F.col("sent_no").cast("bigint").alias("sent_no"), "label",
+                         F.array_join("words", " ").alias("words"))
 
 
 _GRAMS_SQL = []

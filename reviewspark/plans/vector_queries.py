@@ -52,14 +52,18 @@ def q_tokens_in_vocab(spark, sf):
 
 
 @query("doc_vectors",
+       f"SELECT l.doc_id, coalesce(m.dim, -1) AS dim, coalesce(m.value, 0.0) AS value FROM labels l JOIN documents USING (doc_id) LEFT JOIN ("
        f"SELECT doc_id, dim, round(avg(x), 6) AS value FROM ("
        f"SELECT t.doc_id, unnest(generate_series(0, len(v.vec) - 1)) AS dim, unnest(list_transform(v.vec, lambda y: CAST(y AS DOUBLE))) AS x "
-       f"FROM ({_SQL_WORDS_LONG}) t JOIN ({SQL_BOUND_VECTORS}) v ON t.token = v.token) GROUP BY doc_id, dim")
+       f"FROM ({_SQL_WORDS_LONG}) t JOIN ({SQL_BOUND_VECTORS}) v ON t.token = v.token) GROUP BY doc_id, dim) m ON l.doc_id = m.doc_id")
 def q_doc_vectors(spark, sf):
-    """Mean word vector per labelled document, long form ``(doc_id, dim, value)``."""
-    dv = V.doc_vectors(_words_long(spark, sf), bound_vectors(spark, sf))
-    return dv.select("doc_id", F.posexplode("vec").alias("dim", "value")) \
-             .select("doc_id", F.col("dim").cast("bigint").alias("dim"), rnd("value").alias("value"))
+    """Mean word vector per labelled document, long form ``(doc_id, dim, value)``; a document without any known
+    word has a null vector: one row, ``dim`` -1."""
+    docs = tables.table(spark, sf, "documents", "doc_id").join(tables.table(spark, sf, "labels", "doc_id"), "doc_id")
+    dv = V.doc_vectors(_words_long(spark, sf), bound_vectors(spark, sf), docs=docs)
+    return dv.select("doc_id", F.posexplode_outer("vec").alias("dim", "value")) \
+             .select("doc_id", F.coalesce(F.col("dim").cast("bigint"), F.lit(-1)).alias("dim"),
+                     F.coalesce(rnd("value"), F.lit(0.0)).alias("value"))
 
 
 _COS = ("list_sum(list_transform(range(1, len(e.embedding) + 1), lambda i: CAST(e.embedding[i] AS DOUBLE) * CAST(q.v[i] AS DOUBLE)))"

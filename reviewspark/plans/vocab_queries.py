@@ -11,12 +11,15 @@ from ..functions.fixed import MAX_NB_WORDS, MAX_SEQUENCE_LENGTH, SENTENCE_MAX_LE
 from ..operators import encode as E
 from ..operators.tokens import explode_tokens
 from ..operators.vocab import vocab_alpha, vocab_first_seen, vocab_freq
+from ..session import materialize
 from ..sources import tables
 from .common import (SQL_CLEAN_LONG, SQL_FREQ_LONG, SQL_REVIEWS, SQL_SENTENCES, SQL_WORD_LONG,
                      clean_tokens_long, freq_tokens_long, reviews_labelled, sentences_labelled,
                      word_tokens_long)
 from ..oracle import sqltext as S
 
+NUM_WORDS = 10_000  # fixed value: the cap of the out-of-vocabulary-to-zero encodings
+
 # ---- SQL building blocks ----------------------------------------------------
 
 _SQL_VFREQ = (f"SELECT token, n, row_number() OVER (ORDER BY n DESC, f.d, f.p) AS idx FROM "
@@ -54,16 +57,25 @@ _SQL_ENC_FIRST = _sql_encoded(SQL_CLEAN_LONG, _SQL_VFIRST, SQL_REVIEWS, oov_zero
 # ---- Spark side ---------------------------------------------------------------
 
 
+def _token_rows(docs, tokens):
+    """``(doc_id, tk)`` written once: the vocabulary and the encoding read the same tokens."""
+    return materialize(docs.select("doc_id", tokens.alias("tk")), "token-rows")
+
+
+def _freq_rows(spark, sf):
+    rows = _token_rows(sentences_labelled(spark, sf), T.freq_tokens("text"))
+    return rows, vocab_freq(explode_tokens(rows, F.col("tk")))
+
+
 def _enc_freq(spark, sf):
-    docs = sentences_labelled(spark, sf)
-    vocab = vocab_freq(explode_tokens(docs, T.freq_tokens("text")))
-    return E.encode_drop_oov(docs, T.freq_tokens("text"), vocab, cap=MAX_NB_WORDS)
+    rows, vocab = _freq_rows(spark, sf)
+    return E.encode_drop_oov(rows, F.col("tk"), vocab, cap=MAX_NB_WORDS)
 
 
 def _enc_first(spark, sf):
-    docs = reviews_labelled(spark, sf)
-    vocab = vocab_first_seen(explode_tokens(docs, T.clean_tokens("text")))
-    return E.encode_oov_zero(docs, T.clean_tokens("text"), vocab, max_len=MAX_SEQUENCE_LENGTH), vocab
+    rows = _token_rows(reviews_labelled(spark, sf), T.clean_tokens("text"))
+    vocab = materialize(vocab_first_seen(explode_tokens(rows, F.col("tk"))), "vocab-first")
+    return E.encode_oov_zero(rows, F.col("tk"), vocab, max_len=MAX_SEQUENCE_LENGTH), vocab
 
 
 @query("vocab_freq", f"SELECT token, n, idx FROM ({_SQL_VFREQ})")
@@ -92,23 +104,20 @@ def q_encode_freq(spark, sf):
     return _seq_out(_enc_freq(spark, sf))
 
 
-@query("encode_oov_zero", _sql_seq_out(_sql_encoded(SQL_FREQ_LONG, _SQL_VFREQ, SQL_SENTENCES, "idx < 5000",
+@query("encode_oov_zero", _sql_seq_out(_sql_encoded(SQL_FREQ_LONG, _SQL_VFREQ, SQL_SENTENCES, f"idx < {NUM_WORDS}",
                                                     oov_zero=True, max_len=MAX_SEQUENCE_LENGTH)))
 def q_encode_oov_zero(spark, sf):
-    """Top 4999 words kept, every other word -> 0 in place; first 1000 positions."""
-    docs = sentences_labelled(spark, sf)
-    vocab = vocab_freq(explode_tokens(docs, T.freq_tokens("text")))
-    return _seq_out(E.encode_oov_zero(docs, T.freq_tokens("text"), vocab, keep_below=5000,
-                                      max_len=MAX_SEQUENCE_LENGTH))
+    """Top 9999 words kept, every other word -> 0 in place; first 1000 positions."""
+    rows, vocab = _freq_rows(spark, sf)
+    return _seq_out(E.encode_oov_zero(rows, F.col("tk"), vocab, keep_below=NUM_WORDS, max_len=MAX_SEQUENCE_LENGTH))
 
 
 @query("encode_skip_top", _sql_seq_out(_sql_encoded(SQL_FREQ_LONG, _SQL_VFREQ, SQL_SENTENCES,
-                                                    "idx < 5000 AND idx > 20", oov_zero=True)))
+                                                    f"idx < {NUM_WORDS} AND idx > 20", oov_zero=True)))
 def q_encode_skip_top(spark, sf):
-    """The 20 most frequent words and words beyond the top 4999 -> 0."""
-    docs = sentences_labelled(spark, sf)
-    vocab = vocab_freq(explode_tokens(docs, T.freq_tokens("text")))
-    return _seq_out(E.encode_oov_zero(docs, T.freq_tokens("text"), vocab, keep_below=5000, skip_top=20))
+    """The 20 most frequent words and words beyond the top 9999 -> 0."""
+    rows, vocab = _freq_rows(spark, sf)
+    return _seq_out(E.encode_oov_zero(rows, F.col("tk"), vocab, keep_below=NUM_WORDS, skip_top=20))
 
 
 @query("encode_first_seen", _sql_seq_out(_SQL_ENC_FIRST))

@@ -27,6 +27,9 @@ SCALE_CONF = {
 }
 
 
+_WRITTEN: list[str] = []  # folders of this session's intermediates
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app: str = "reviewspark", extra: dict | None = None) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -75,10 +78,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (for written tables)."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def release_intermediates(spark: SparkSession) -> int:
+    """Delete every table that ``materialize`` and ``shared_path`` made so far; returns their number.
+
+    For callers that are done with the results that read them (the bench after each query, a service between
+    requests): a lazy result must be written or collected first.
+    """
+    n = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n

@@ -79,6 +79,22 @@ def test_cnn_data_parallel_gradient_independent_of_partitions(spark):
     assert np.allclose(g1, g4) and abs(l1 - l4) < 1e-9
 
 
+def test_gradient_rows_are_summed_in_several_tasks(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(0, 400, 1, 40).selectExpr("1L as n", "cast(id as double) as loss", "unhex('000000000000F03F') as grad")
+    out = cnn.tree_sum(rows, 1, 8)
+    parts = out.withColumn("p", F.spark_partition_id()).collect()
+    assert len({r.p for r in parts}) > 4 and sum(r.n for r in parts) == 400
+    assert sum(np.frombuffer(r.grad, float)[0] for r in parts) == 400.0
+
+
+def test_dropout_draws_do_not_depend_on_partitions():
+    ids = np.arange(1000)
+    a = cnn.uniform(8, 3, ids, 64)
+    assert (a[::-1] == cnn.uniform(8, 3, ids[::-1], 64)).all() and 0.49 < a.mean() < 0.51
+    assert abs(np.corrcoef(a[:, 0], a[:, 1])[0, 1]) < 0.1 and (a != cnn.uniform(8, 4, ids, 64)).mean() > 0.99
+
+
 def test_cnn_score_equals_numpy_forward(spark):
     spec, emb, x, y = _tiny()
     rows = [(i, int(y[i]), [int(v) for v in x[i]]) for i in range(len(y))]
@@ -93,10 +109,10 @@ def test_cnn_fit_resumes_from_state(spark, tmp_path):
     spec, emb, x, y = _tiny()
     rows = [(i, int(y[i]), [int(v) for v in x[i]]) for i in range(len(y))]
     df = spark.createDataFrame(rows, "doc_id long, label int, x array<int>")
-    full, hist_full = cnn.fit(df, spec, emb, epochs=2, batch_frac=1.0, dropout=False)
+    full, hist_full = cnn.fit(df, spec, emb, epochs=2, batch_size=100, dropout=False)
     path = str(tmp_path / "state")
-    cnn.fit(df, spec, emb, epochs=1, batch_frac=1.0, dropout=False, state_path=path)
-    resumed, hist = cnn.fit(df, spec, emb, epochs=2, batch_frac=1.0, dropout=False, state_path=path)
+    cnn.fit(df, spec, emb, epochs=1, batch_size=100, dropout=False, state_path=path)
+    resumed, hist = cnn.fit(df, spec, emb, epochs=2, batch_size=100, dropout=False, state_path=path)
     assert np.allclose(full, resumed)
     assert [h[:3] for h in hist] == [h[:3] for h in hist_full]
 

@@ -66,11 +66,11 @@ def test_skew_split_join_equals_plain_join(spark):
 
 
 def test_checked_broadcast_within_and_beyond_budget(spark):
-    from reviewspark.operators.joins import checked_rows, lookup
+    from reviewspark.operators.joins import fits, lookup, measured
     big = spark.range(1000).select(F.col("id"), (F.col("id") % 7).cast("string").alias("token"))
     small = spark.createDataFrame([(str(i), i) for i in range(7)], "token string, idx long")
-    assert checked_rows(small, 10) == 7
-    assert checked_rows(small, 5) is None
+    assert measured(small)[0] == 7 and fits(small, 10)
+    assert not fits(small, 5) and not fits(small, 10, max_bytes=8)
     inside = lookup(big, small, "token", check=True, max_rows=10)
     assert "BroadcastHashJoin" in inside._jdf.queryExecution().sparkPlan().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
