@@ -12,7 +12,7 @@ _PINV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _C = _U(0xD6E8FEB86659FD93)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_CHUNK = 1 << 20                                  # bytes handled at a time; one longer text is handled whole
+_CHUNK = 1 << 19                                  # bytes handled at a time; one longer text is handled whole
 
 
 def mix(x: np.ndarray) -> np.ndarray:

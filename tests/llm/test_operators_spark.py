@@ -143,12 +143,13 @@ def test_near_dedup_settles_pairs_across_components(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(want)
 
 
-def test_cross_pairs_in_blocks(spark):
+def test_cross_pairs_in_blocks(spark, monkeypatch):
     """Small blocks give the pairs that one block gives."""
     rng = np.random.default_rng(1)
-    sig = [bytes(rng.integers(0, 4, 200, dtype=np.uint8)) for _ in range(40)]
-    bits = np.ones(near_dup.BANDS, np.int64).tobytes()
-    sketch = spark.createDataFrame([(i, 10, sig[i % 13], bits) for i in range(40)], "row long, n long, sig binary, bits binary")
+    monkeypatch.setattr(near_dup, "ESTIMATE", 0.3)
+    sig = [bytes(rng.integers(0, 3, 200, dtype=np.uint8)) for _ in range(40)]
+    bands = [1] * near_dup.BANDS
+    sketch = spark.createDataFrame([(i, 10, sig[i % 13], bands) for i in range(40)], "row long, n long, sig binary, bands array<long>")
     buckets = spark.createDataFrame([(1, i) for i in range(40)], "key long, row long")
     label = spark.createDataFrame([(i, i % 5) for i in range(40)], "node long, comp long")
     a = {tuple(r) for r in near_dup.cross_pairs(buckets, label, sketch, block=1000).collect()}
