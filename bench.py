@@ -23,8 +23,8 @@ HEADLINE = [
     "clean_sentence", "clean_tokens", "tfidf", "top_terms", "ngrams", "vocab_freq", "encode_freq",
     "pad_pre", "prepare_train_val", "sentence_corpus", "doc_vectors", "embedding_matrix",
     "subsample_words", "stratified_folds", "roc_auc", "describe_words", "split_exact", "downsample",
-    "tokens_no_stop", "decode", "most_similar", "svm_accuracy", "rbf_svm_predict", "word2vec_fit", "fit_history",
-    "cnn_score",
+    "tokens_no_stop", "decode", "most_similar", "svm_accuracy", "rbf_svm_predict", "word2vec_fit",
+    "fit_history",
 ]
 TABLES = ["documents", "pages", "labels", "embeddings"]  # what the headline queries read
 
