@@ -10,8 +10,10 @@ the bits where it lies: rows that may repeat are shuffled and grouped exactly, a
 straight through to the output without moving.
 
 The bits are packed in 4 KB bitmaps and broadcast.  The broadcast has a proven bound: keys are dealt
-over ``rounds`` filters by residue, so that no filter exceeds ``max_filter_bytes`` (one byte per key:
-``BITS_PER_KEY`` bits); each round tests only the rows of its residue, and all rows are tested.
+over at most ``MAX_ROUNDS`` filters by residue, none above ``max_filter_bytes`` (one byte per key:
+``BITS_PER_KEY`` bits); each filter tests only the rows of its residue, and all rows are tested.  Beyond
+512 million keys (at the defaults) the filters fill up: more unique rows then go the exact way, none is lost,
+and the narrow rows that all take it in the end are 40 bytes each; raise ``max_filter_bytes`` before that.
 
 Groups: null ids sort last; of exactly equal rows (same id, same text) one, chosen by the read
 order, stays.  Hot groups (a text that holds a third of all rows) are safe: groups are built by
@@ -30,6 +32,7 @@ from .common import WS, fresh, materialize
 BITS_PER_KEY = 8
 HASHES = 2
 MAX_FILTER_BYTES = 64 << 20
+MAX_ROUNDS = 8
 _BITMAP_BITS = 32768  # bits in one bitmap of bitmap_construct_agg
 
 
@@ -55,7 +58,7 @@ class RepeatFilter:
     def build(cls, keys: DataFrame, key: str, n: int, least: int = 2,
               max_filter_bytes: int = MAX_FILTER_BYTES) -> "RepeatFilter":
         """``keys``: written table; ``n``: its rows; ``least``: hits a slot needs (1: a plain Bloom filter)."""
-        rounds = max(1, math.ceil(n * BITS_PER_KEY / 8 / max_filter_bytes))
+        rounds = min(MAX_ROUNDS, max(1, math.ceil(n * BITS_PER_KEY / 8 / max_filter_bytes)))
         per = max(1, math.ceil(n / rounds))
         bits = _BITMAP_BITS * max(1, math.ceil(per * BITS_PER_KEY / _BITMAP_BITS))
         bits = min(bits, max(_BITMAP_BITS, max_filter_bytes * 8 // _BITMAP_BITS * _BITMAP_BITS))
