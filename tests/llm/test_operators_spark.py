@@ -207,6 +207,42 @@ def test_mixing(docs):
             assert n[r.doc_id] == (1 if r.size == 0 else math.floor(r.taken / r.size + 0.5))
 
 
+def test_mixing_deals_shards_by_quota(docs):
+    got = mixing.mix(docs, shard_blocks=97).collect()
+    size = {r.source: r.source_size for r in got}
+    quotas = mixing.plan(size, shard_blocks=97)
+    assert len(quotas[0].quotas) > 5 and sum(sum(q.quotas) for q in quotas) == sum(q.seats for q in quotas)
+    words, n = collections.Counter(), collections.Counter()
+    for r in got:
+        assert sum(p.words for p in r.shards) == r.taken and all(p.words > 0 for p in r.shards)
+        assert [p.shard for p in r.shards] == sorted({p.shard for p in r.shards})
+        for p in r.shards:
+            words[r.source, p.shard] += p.words
+        n[r.source] += r.taken
+    for q in quotas:
+        assert q.seats == sum(q.quotas)
+        for k, seats in enumerate(q.quotas):   # short by no more than the source's part-filled last block
+            short = seats * mixing.BLOCK - words.pop((q.source, k), 0)
+            assert 0 <= short <= (seats // q.blocks + 1 if seats else 0) * (q.blocks * mixing.BLOCK - q.size)
+    assert not words
+    plain = {(r.doc_id, r.size, r.taken) for r in mixing.mix(docs).collect()}
+    assert plain == {(r.doc_id, r.size, r.taken) for r in got}
+
+
+def test_sharded_documents(docs):
+    got = mixing.mix(docs, shard_blocks=97).collect()
+    taken = collections.Counter()
+    can = collections.defaultdict(set)
+    for r in got:
+        taken[r.doc_id] += 1 if r.size == 0 else math.floor(r.taken / r.size + 0.5)
+        can[r.doc_id] |= {p.shard for p in r.shards} or {None}
+    mixed = mixing.sharded_documents(docs, shard_blocks=97)
+    assert mixed.columns == [*docs.columns, "shard"]
+    rows = mixed.collect()
+    assert collections.Counter(r.doc_id for r in rows) == +taken
+    assert all(r.shard in can[r.doc_id] for r in rows) and len({r.shard for r in rows}) > 5
+
+
 def test_bpe(docs):
     import public_tokenizers as P
     import tiktoken
