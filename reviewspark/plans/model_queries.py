@@ -110,7 +110,7 @@ _SQL_W2V_WORDS = (
 @query("word2vec_fit", _SQL_W2V_WORDS + " SELECT token AS word, 200 AS dim, true AS finite FROM k GROUP BY token HAVING count(*) >= 40")
 def q_word2vec_fit(spark, sf):
     """Skip-gram vectors on the sentence corpus of all documents after frequent-word subsampling."""
-    vectors = fit_word2vec(tables.documents(spark, sf), max_iter=1)
+    vectors = fit_word2vec(tables.documents(spark, sf))
     norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
     return vectors.select("word", F.size("vec").alias("dim"), ((norm > 0) & (norm < float("inf"))).alias("finite"))
 
@@ -183,7 +183,7 @@ def q_fit_history(spark, sf):
        "SELECT q.token AS word, r AS rank, true AS in_vocabulary FROM q, range(1, 11) x(r)")
 def q_word2vec_neighbours(spark, sf):
     """Ten nearest words (cosine) of the most frequent word of the subsampled corpus, in the trained space."""
-    vectors, model, sentences = fit_word2vec(tables.documents(spark, sf), max_iter=1, return_model=True)
+    vectors, model, sentences = fit_word2vec(tables.documents(spark, sf), return_model=True)
     top = (sentences.select(F.explode("words").alias("w")).groupBy("w").count()
            .orderBy(F.desc("count"), F.asc("w")).first())          # one word
     near = model.findSynonyms(top["w"], 10).orderBy(F.desc("similarity"), "word")
