@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 START, END, SEP = "<|im_start|>", "<|im_end|>", "<|im_sep|>"
 _CLOSE = END + "\n"
+PIECE = 1024  # code points
 
 
 def escape(text: Column) -> Column:
@@ -92,24 +93,32 @@ def read_turns(formatted: Column) -> Column:
 
 
 def masked_text(formatted: Column, mask: Column) -> Column:
-    """All text under the mask, unescaped, nothing between."""
-    return F.array_join(F.transform(mask, lambda m: unescape(
-        F.substr(formatted, (m["start"] + 1).cast("int"), m["length"].cast("int")))), "")
+    """All text under the mask, unescaped, nothing between.
 
+    The string is cut once into pieces of ``PIECE`` code points, so that each entry is looked up in the pieces
+    that it lies in: linear in a very long conversation, where positions counted from its start are not.
+    """
+    def under(pieces: Column, m: Column) -> Column:
+        first = F.floor(m["start"] / PIECE)
+        many = F.floor((m["start"] + m["length"] - 1) / PIECE) - first + 1
+        near = F.array_join(F.slice(pieces, (first + 1).cast("int"), F.greatest(many, F.lit(0)).cast("int")), "")
+        return unescape(F.substr(near, (m["start"] - first * PIECE + 1).cast("int"), m["length"].cast("int")))
 
-def digest(formatted: DataFrame, conv: str = "conv_id", train_role: str = "assistant") -> DataFrame:
-    """What the formatted strings hold, read back from them.
+    # the pieces are bound as a lambda's variable: made once, not once for each entry
+    pieces = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return F.element_at(F.transform(F.array(pieces), lambda ps: F.array_join(
+        F.transform(mask, lambda m: under(ps, m)), "")), 1)
 
-    The text under the mask is taken block by block (every text of the trained role is under it, and nothing
-    else), which stays linear in a very long conversation; ``masked_text`` gives the same by positions.
-    """
+
+def digest(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
+    """What the formatted strings hold, read back from them; the loss text is what lies under ``mask``."""
     turns = formatted.select(conv, read_turns(F.col("formatted")).alias("turns"),
+                             masked_text(F.col("formatted"), F.col("mask")).alias("loss"),
                              F.length("formatted").cast("long").alias("formatted_chars"))
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == train_role), lambda t: t["text"]), "")
     out = turns.select(
         conv, F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""),
                256).alias("turns_sha256"),
-        loss.alias("loss"), "formatted_chars")
+        "loss", "formatted_chars")
     return out.select(conv, "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"),
                       F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")

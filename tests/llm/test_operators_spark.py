@@ -435,6 +435,20 @@ def test_chat(spark):
         assert full[c].formatted.count(chat.START) == full[c].formatted.count(chat.END) == blocks
 
 
+def test_chat_loss_text_is_what_the_mask_covers(spark):
+    from pyspark.sql import functions as F
+    rows = [(1, t, "assistant" if t % 3 else "user", ("é\n\U0001f600 <|x" * (t * 37 % 400)), "x", 1) for t in range(40)]
+    made = chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, c string, pos int"))
+    moved = made.withColumn("mask", F.transform("mask", lambda m: F.struct(
+        (m["start"] - 3).alias("start"), (m["length"] + 1).alias("length"))))
+    for table in (made, moved):
+        r = table.first()
+        want = "".join(re.sub(r"<\\(\\*)\|", r"<\1|", r.formatted[m.start:m.start + m.length]) for m in r.mask)
+        got = chat.digest(table).first()
+        assert (got.loss_chars, got.loss_sha256) == (len(want), hashlib.sha256(want.encode()).hexdigest())
+    assert len(made.first().formatted) > 20 * chat.PIECE
+
+
 def test_empty_tables(spark, empty):
     assert exact_dedup.exact_classes(empty).count() == 0 and exact_dedup.drop_exact_copies(empty).count() == 0
     assert near_dup.near_dedup(empty).count() == 0 and near_dup.drop_near_copies(empty).count() == 0
