@@ -10,7 +10,8 @@ documents lie in seeded order, a run of blocks is a random choice of documents;
 source are taken in part, and a document on the border of two runs is in both shards, with its words in each.
 
 A shard holds ``shard_blocks`` blocks (the last one the rest), or more on inputs where shards times sources
-would exceed ``MAX_CELLS``: their quotas lie on the driver and in the closure of the tasks.
+would exceed ``MAX_CELLS``: their quotas lie on the driver and in the closure of the tasks.  A block is one word,
+so that no source has a part-filled block, however small it is; the cost does not grow with the seats.
 
 Targets: sources in code-point order (null last) weigh 5, 2, 1, repeating; they share ``budget`` times all
 words, no target exceeding ``max_repeat`` times its source, the excess being shared again by weight.
@@ -40,8 +41,8 @@ from .exact_dedup import RepeatFilter
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_SOURCES = 100_000
-BLOCK = 64
-SHARD_BLOCKS = 16_384
+BLOCK = 1
+SHARD_BLOCKS = 1 << 20
 MAX_CELLS = 1_000_000  # quotas (one per shard and source) that one mix may have
 
 

@@ -207,6 +207,16 @@ def test_mixing(docs):
             assert n[r.doc_id] == (1 if r.size == 0 else math.floor(r.taken / r.size + 0.5))
 
 
+def test_mixing_small_sources_meet_their_targets(spark):
+    rows = [(1000 * n + i, " ".join(["w"] * min(7, n - 7 * i)), f"s{n:03d}") for n in range(1, 201) for i in range(-(-n // 7))]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, target = collections.Counter(), {r.source_size: r.target for r in got}
+    for r in got:
+        taken[r.source_size] += r.taken
+    assert sorted(target) == list(range(1, 201))
+    assert all(abs(taken[n] - target[n]) <= 1 for n in target)
+
+
 def test_mixing_deals_shards_by_quota(docs):
     got = mixing.mix(docs, shard_blocks=97).collect()
     size = {r.source: r.source_size for r in got}
