@@ -298,18 +298,25 @@ def mixed_documents(df: DataFrame, text: str = "text", source: str = "source", i
     """
     copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int")
     plan_ = mix(df, text, source, id_col, seed=seed, **how).select(
-        F.col("key").alias("_mix_key"), F.col("source").alias("_mix_source"), copies.alias("_copies")).where("_copies <> 1")
+        F.col("key").alias("_mix_key"), F.col("source").alias("_mix_source"), copies.alias("_copies"))
     # rows equal in id, text and source share a key: their copies add up and are dealt to them evenly
-    odd = materialize(plan_.groupBy("_mix_key", "_mix_source").agg(F.sort_array(F.collect_list("_copies")).alias("_copies"))
-                      .withColumn("_mix_hash", F.xxhash64("_mix_key")), "mix-odd")
+    odd = materialize(plan_.groupBy("_mix_key", "_mix_source").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum("_copies").alias("_total"), F.min("_copies").alias("_least"),
+        F.max("_copies").alias("_most")).where("_least <> 1 or _most <> 1").withColumn("_mix_hash", F.xxhash64("_mix_key")), "mix-odd")
+    uneven = odd.where("_least <> _most").select("_mix_hash")
+    n_uneven = uneven.count()
     flt = RepeatFilter.build(odd, "_mix_hash", max(1, odd.count()), least=1)
     cols = [F.col(f"`{c}`") for c in df.columns]
     key, maybe = fresh(df, "key"), fresh(df, "maybe")
     keyed = flt.mark(df.withColumn(key, seeded_key(F.col(id_col), F.col(text), seed)), F.xxhash64(F.col(key)), maybe)
     alone = keyed.where(~F.col(maybe)).select(*cols)
-    some = keyed.where(F.col(maybe))
+    some, nth = keyed.where(F.col(maybe)).drop(maybe), fresh(df, "nth")
+    if n_uneven:  # a run ends between rows that share a key
+        some = _numbered(some, key, source, RepeatFilter.build(uneven, "_mix_hash", n_uneven, least=1), nth)
+    else:
+        some = some.withColumn(nth, F.lit(0).cast("long"))
     joined = some.join(odd, (some[key] == odd["_mix_key"]) & some[source].eqNullSafe(odd["_mix_source"]), "left")
-    # of rows that share a key (they are alike) each stands as often as the first of them is taken
-    n = F.coalesce(F.element_at("_copies", 1), F.lit(1))
+    # row i of n stands floor((i + 1) total / n) - floor(i total / n) times
+    n = F.coalesce(F.expr(f"(`{nth}` + 1) * _total div _rows - `{nth}` * _total div _rows"), F.lit(1)).cast("int")
     spread = joined.withColumn("_copies", F.explode(F.array_repeat(F.lit(0), n))).select(*cols)
     return alone.unionByName(spread)

@@ -217,6 +217,18 @@ def test_mixing_small_sources_meet_their_targets(spark):
     assert all(abs(taken[n] - target[n]) <= 1 for n in target)
 
 
+def test_mixed_documents_with_a_repeated_row_across_a_runs_end(spark):
+    rows = [(1, "ten words " * 5, "a")] * 30 + [(i, "two more words " * 4, "b") for i in range(10, 27)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    want, each = collections.Counter(), set()
+    for r in mixing.mix(df).collect():
+        want[r.doc_id] += math.floor(r.taken / r.size + 0.5)
+        each |= {math.floor(r.taken / r.size + 0.5)} if r.doc_id == 1 else set()
+    assert len(each) > 1
+    assert collections.Counter(r.doc_id for r in mixing.mixed_documents(df).collect()) == +want
+    assert collections.Counter(r.doc_id for r in mixing.sharded_documents(df, shard_blocks=97).collect()) == +want
+
+
 def test_mixing_deals_shards_by_quota(docs):
     got = mixing.mix(docs, shard_blocks=97).collect()
     size = {r.source: r.source_size for r in got}
