@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, chat, exact_dedup, mixing, near_dup, pii, token_file, toxicity, vafile, warc
+from . import (bpe, chat, exact_dedup, hard_negatives, mixing, near_dup, packing, pii, spelling, token_file, toxicity, vafile,
+               warc)
 from .common import table
 
 QUERIES: dict = {}
@@ -123,3 +124,41 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-1).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role"),
         F.lit(_INJECTED).alias("text")) for i, r in enumerate(("user", "assistant"))])).alias("r")).select("r.*")
     return chat.digest(chat.format_chat(conv.unionByName(probe)))
+
+
+_RELABELLED = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+
+
+@query("op11_hard_negatives", f"""
+WITH v AS (SELECT row_number() OVER () AS row, vec_id, {_RELABELLED} AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS a FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.row AS anchor, q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same,
+             CAST(list_sum(list_transform(list_zip(q.a, c.a), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.row <> c.row AND len(q.a) = len(c.a)),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS k FROM s WHERE same),
+n AS (SELECT p.anchor, p.k, p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+             s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON p.k <= 5 AND p.anchor = s.anchor AND NOT s.same
+       AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", "embedding", label.alias("label"))).drop("positive_rank")
+
+
+@query("op12_packing")
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    return packing.pack_round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling")
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    return spelling.variants(table(spark, sf_dir, "documents"))
