@@ -20,9 +20,8 @@ its pieces; so shards cost about one bin together, not one bin each.
 
 Real output: ``sequences`` (sequence_id, ids, parts), the packed ids; ``read_back`` cuts the pieces out of them again.
 
-Texts are tokenized whole by the tokenizers library: matches of its splitting pattern are encoded once per worker and
-remembered (bounded; never changes ids).  A text that holds the string of a special token, or a control character that
-splitting rules read differently, goes to the library as a whole.
+Texts are tokenized whole.  A plain byte-level file is encoded from its rank table by tiktoken, to the ids that the
+tokenizers library gives; the string of a special token in a text is that token, as it is for the library.
 
 Defined cases: null and empty texts are the end id alone; repeated rows and null ids are documents of their own; equal
 lengths are interchangeable and settled by seed, so reruns agree; an empty table gives no rows; extra columns are not
@@ -39,7 +38,6 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import _chunks
 from .common import materialize, shuffle_partitions, worker_memory
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -52,78 +50,66 @@ EPOCHS = 3
 GENERATIONS = 6     # of an island in an epoch
 SLACK = 4           # a bin with so few free tokens is final at once
 SEED = 12
-_CACHE = 300_000    # chunks, and matches, in a generation of a worker's memory
 _STEP = 500         # texts held as Python strings at a time
 
 
 # ---- tokens ---------------------------------------------------------------------
 
 
+def _byte_alphabet() -> dict[str, int]:
+    """The byte behind each character of a byte-level vocabulary: printable bytes are themselves, the others follow from
+    U+0100 on in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
+
+
 class PieceTokenizer:
-    """Ids of whole texts, match by match of the splitting pattern."""
+    """Ids of whole texts by a tokenizers file.
+
+    A file of plain byte-level BPE (no normaliser, the standard splitting, ids in merge order) is the same thing as a
+    table of ranks; tiktoken then encodes whole texts from that table, several times as fast, to the same ids.  Any
+    other file, and texts with the string of a special token, go through the tokenizers library.
+    """
 
     def __init__(self, path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
+        import json
+        import re
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        vocab = self.tok.get_vocab()
-        size = max(vocab.values(), default=0) + 1
+        size = max(self.tok.get_vocab().values(), default=0) + 1
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
-        self.starts = np.zeros(size, bool)  # tokens that begin with the mapped space
-        self.starts[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
-        special = [regex.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
-        self.whole = regex.compile("|".join([*special, "[\x1c-\x1f\x85]"])).search
-        self.split = regex.compile(pattern).findall
-        self.chunks: list[dict] = [{}, {}]
-        self.matches: list[dict] = [{}, {}]
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode matches.  A space with letters is one match each, so many go through one call and are cut apart."""
-        known, plain, rest = self.matches[0], [], []
-        for m in new:
-            (plain if m[0] == " " and m[1:].isalpha() else rest).append(m)
-        for lo in range(0, len(plain), 5000):
-            part = plain[lo:lo + 5000]
-            ids = np.array(self.tok.encode("".join(part), add_special_tokens=False).ids, self.kind)
-            cut = np.flatnonzero(self.starts[ids])
-            if len(cut) != len(part):
-                rest += part
-                continue
-            raw, at = ids.tobytes(), (np.append(cut, len(ids)) * ids.itemsize).tolist()
-            known.update(zip(part, (raw[a:b] for a, b in zip(at, at[1:]))))
-        if rest:
-            for m, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
-                known[m] = np.array(e.ids, self.kind).tobytes()
-
-    @staticmethod
-    def _turn(memory: list[dict]) -> dict:
-        if len(memory[0]) > _CACHE:  # the generation before stays at hand: frequent entries move over
-            memory[1], memory[0] = memory[0], {}
-        return memory[0]
-
-    @staticmethod
-    def _unseen(wanted: set, memory: list[dict]) -> list:
-        wanted.difference_update(memory[0])
-        older = memory[1]
-        if older:
-            memory[0].update((k, older[k]) for k in wanted & older.keys())
-            wanted.difference_update(memory[0])
-        return list(wanted)
+        special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
+        # control characters that white-space classes of regex engines read differently go to the library too
+        self.whole = re.compile("|".join([*map(re.escape, sorted(special)), "[\x1c-\x1f\x85]"])).search
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.ranks = _ranks(spec, special)
+        self.fast = None
+        if self.ranks is not None:
+            import tiktoken
+            self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        known, matches = self._turn(self.chunks), self._turn(self.matches)
-        cut = [None if self.whole(t) else _chunks(t) for t in texts]
-        new = self._unseen(set().union(*(c for c in cut if c is not None)), self.chunks)
-        parts = [self.split(c) for c in new]
-        self._learn(self._unseen(set().union(*parts), self.matches))
-        get = matches.__getitem__
-        for c, ms in zip(new, parts):
-            known[c] = b"".join(map(get, ms))
-        get = known.__getitem__
-        return [np.array(self.tok.encode(t, add_special_tokens=False).ids, self.kind) if c is None
-                else np.frombuffer(b"".join(map(get, c)), self.kind) for t, c in zip(texts, cut)]
+        return [np.array(self.tok.encode(t, add_special_tokens=False).ids if self.fast is None or self.whole(t) else self.fast(t),
+                         self.kind) for t in texts]
+
+
+def _ranks(spec: dict, special: set[str]) -> dict[bytes, int] | None:
+    """The rank table of a plain byte-level BPE file, else None."""
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = (model.get("type") == "BPE" and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+             and not split.get("add_prefix_space") and spec.get("normalizer") is None and spec.get("truncation") is None
+             and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
+                                                "fuse_unk", "byte_fallback", "ignore_merges")))
+    vocab = model["vocab"]
+    pairs = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model.get("merges", [])]
+    if not plain or any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)):
+        return None
+    alphabet = _byte_alphabet()
+    return {bytes(alphabet[c] for c in t): i for t, i in vocab.items() if t not in special}
 
 
 def _tokenizer(path: str, pattern: str) -> PieceTokenizer:
