@@ -38,7 +38,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions, worker_memory
+from ..operators.joins import fits
+from .common import materialize, shared_path, shuffle_partitions, worker_memory
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
@@ -150,7 +151,9 @@ def pieces(df: DataFrame, text: str = "text", id_col: str = "doc_id", path: str
     kind = df.schema[id_col].dataType.simpleString()
     src = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     out = src.mapInArrow(run, f"id {kind}, piece int, start long, length long, width int, ids binary")
-    return materialize(out.select(F.monotonically_increasing_id().alias("row"), "*"), "pack-pieces")
+    folder = shared_path(df.sparkSession, "pack-pieces")
+    out.select(F.monotonically_increasing_id().alias("row"), "*").write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.parquet(folder)
 
 
 # ---- the genetic algorithm (numpy, one shard at a time) ----------------------------
@@ -377,13 +380,17 @@ def place(items: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, slack:
 
 
 def sequences(pieces_: DataFrame, placed: DataFrame) -> DataFrame:
-    """Written: sequence_id, width, ids (the packed ids), parts (id, piece, start, length, offset, in order)."""
-    both = pieces_.join(placed, "row")
+    """sequence_id, width, ids (the packed ids), parts (id, piece, start, length, offset, in order).
+
+    The ids move once, to their sequences: the narrow placements are broadcast to them if they are measured to be
+    small, and joined by a shuffle otherwise.
+    """
+    both = pieces_.join(F.broadcast(placed) if fits(placed) else placed, "row")
     part = F.struct("offset", "id", "piece", "start", "length", "ids")
     got = both.groupBy("sequence_id").agg(F.max("width").alias("width"), F.sort_array(F.collect_list(part)).alias("p"))
     ids = F.aggregate(F.transform("p", lambda x: x["ids"]), F.lit(b""), lambda a, x: F.concat(a, x))
     parts = F.transform("p", lambda x: F.struct(*[x[c].alias(c) for c in ("id", "piece", "start", "length", "offset")]))
-    return materialize(got.select("sequence_id", "width", ids.alias("ids"), parts.alias("parts")), "pack-sequences")
+    return got.select("sequence_id", "width", ids.alias("ids"), parts.alias("parts"))
 
 
 def read_back(packed: DataFrame, id_col: str = "doc_id") -> DataFrame:
