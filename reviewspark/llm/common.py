@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,3 +46,15 @@ def worker_memory() -> dict:
 
     holder = sys.modules.setdefault("_kept_between_tasks", types.ModuleType("_kept_between_tasks"))
     return holder.__dict__.setdefault("kept", {})
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """While a table of texts is written: Arrow batches of so many rows, so that a worker holds few texts at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window  # noqa: F401
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, text_or_empty
+from .common import fresh, materialize, shuffle_partitions, small_batches, text_or_empty
 from .exact_dedup import RepeatFilter
 from .shingles import mix, shingle_sets
 
@@ -42,6 +42,7 @@ SHINGLE = 5
 PERCENT = 75
 ESTIMATE = 0.68
 BLOCK = 512
+PARTNERS = 64        # of one row that are verified beside one copy of its text
 
 _U = np.uint64
 _SEEDS = mix(np.arange(1, 2 * BINS + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
@@ -119,22 +120,29 @@ def sketch_table(df: DataFrame, text: str, id_col: str) -> DataFrame:
     src = df.select(F.col(id_col).alias("id"), text_or_empty(text).alias("text"),
                     F.xxhash64(text_or_empty(text)).alias("th"))
     out = src.mapInArrow(_sketch_batches, f"id {kind}, th long, n long, h1 long, h2 long, bands array<long>, sig binary")
-    return materialize(out.select(F.monotonically_increasing_id().alias("row"), "*"), "near-sketch")
+    with small_batches(df.sparkSession):
+        return materialize(out.select(F.monotonically_increasing_id().alias("row"), "*"), "near-sketch")
 
 
 def _verify_batches(batches):
+    """(u, v) of the rows (v, block, u, text), sorted so that v's own text (u is null) comes before its partners'."""
     import pyarrow as pa
-    # pairs whose sets are held at a time
-    for b in (whole.slice(k, 500) for whole in batches for k in range(0, whole.num_rows, 500)):
-        u, v = b.column("u").to_numpy(), b.column("v").to_numpy()
-        left = [s[at[i]:at[i + 1]] for _, s, at in shingle_sets(b.column("tu"), SHINGLE) for i in range(len(at) - 1)]
-        right = [s[at[i]:at[i + 1]] for _, s, at in shingle_sets(b.column("tv"), SHINGLE) for i in range(len(at) - 1)]
-        ok = np.zeros(len(u), bool)
-        for i, (x, y) in enumerate(zip(left, right)):
-            if len(x) and len(y) and 100 * min(len(x), len(y)) >= PERCENT * max(len(x), len(y)):
-                both = np.sort(np.concatenate([x, y]))
-                common = int((both[1:] == both[:-1]).sum())
-                ok[i] = 100 * common >= PERCENT * (len(x) + len(y) - common)
+
+    hub = np.empty(0, np.uint64)  # the one set that is held: v's
+    for b in batches:
+        v, partner = b.column("v").to_numpy(), b.column("u")
+        own = ~np.asarray(partner.is_valid())
+        u = partner.fill_null(0).to_numpy()
+        ok = np.zeros(b.num_rows, bool)
+        for first, s, at in shingle_sets(b.column("text"), SHINGLE):
+            for i in range(len(at) - 1):
+                x = s[at[i]:at[i + 1]]
+                if own[first + i]:
+                    hub = x.copy()
+                elif len(x) and len(hub) and 100 * min(len(x), len(hub)) >= PERCENT * max(len(x), len(hub)):
+                    both = np.sort(np.concatenate([x, hub]))
+                    common = int((both[1:] == both[:-1]).sum())
+                    ok[first + i] = 100 * common >= PERCENT * (len(x) + len(hub) - common)
         yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(v[ok])], ["u", "v"])
 
 
@@ -142,8 +150,10 @@ def verified(pairs: DataFrame, sketch: DataFrame, df: DataFrame, text: str, id_c
     """The pairs (u, v) whose full shingle sets are similar enough.
 
     Texts of the rows in question are fetched once: a Bloom filter of their ids marks the candidates where
-    they lie, so texts that no pair needs are not shuffled.
+    they lie, so texts that no pair needs are not shuffled.  A row v with many partners is dealt into blocks of
+    about ``PARTNERS`` of them, each of which gets v's text once; a task holds v's set and reads the partners past it.
     """
+    n = shuffle_partitions(df.sparkSession)
     pairs = materialize(pairs, "near-pairs")
     wanted = pairs.select(F.col("u").alias("row")).union(pairs.select("v")).distinct()
     wanted = materialize(wanted.join(sketch.select("row", "id", "th"), "row"), "near-wanted")
@@ -155,9 +165,16 @@ def verified(pairs: DataFrame, sketch: DataFrame, df: DataFrame, text: str, id_c
     w = wanted.withColumnsRenamed({"id": "wid", "th": "wth"})
     texts = docs.join(w, (docs["th"] == w["wth"]) & docs["id"].eqNullSafe(w["wid"])).select("row", "text")
     texts = materialize(texts, "near-texts")
-    both = (pairs.join(texts.select(F.col("row").alias("u"), F.col("text").alias("tu")), "u")
-            .join(texts.select(F.col("row").alias("v"), F.col("text").alias("tv")), "v"))
-    return materialize(both.select("u", "v", "tu", "tv").mapInArrow(_verify_batches, "u long, v long"), "near-links")
+    blocks = pairs.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("blocks"))
+    blocks = materialize(blocks, "near-blocks")
+    hubs = (blocks.select(F.col("v").alias("row"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+            .join(texts, "row").select(F.col("row").alias("v"), "block", F.lit(None).cast("long").alias("u"), "text"))
+    partners = (pairs.join(blocks, "v").select("v", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int").alias("block"), "u")
+                .join(texts.withColumnRenamed("row", "u"), "u").select("v", "block", "u", "text"))
+    dealt = (hubs.unionByName(partners).repartition(n, "v", "block")
+             .sortWithinPartitions("v", "block", F.asc_nulls_first("u")))
+    with small_batches(df.sparkSession):
+        return materialize(dealt.select("v", "u", "text").mapInArrow(_verify_batches, "u long, v long"), "near-links")
 
 
 def components(links: DataFrame) -> DataFrame:
