@@ -400,8 +400,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows scored 0.5 or more, same columns; one pass, nothing is shuffled."""
-    cols = docs.columns
+    """``docs`` without the rows scored 0.5 or more, same columns; one pass, nothing is shuffled.
+
+    Without labelled training rows of both classes there is no model, and every row stays.
+    """
     model = fit(docs, labels, text, id_col)
-    out = score(docs.withColumn("_whole_row", F.struct(*[F.col(f"`{c}`") for c in cols])), model, text, ["_whole_row"])
-    return out.where("predicted = 0").select("_whole_row.*")
+    if model.trees is None:
+        return docs
+    at = docs.columns.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            s = [model.score(data, offs) for _, data, offs in runs(b.column(at))]
+            yield b.filter(pa.array((np.concatenate(s) if s else np.empty(0)) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
