@@ -147,11 +147,11 @@ def drop_exact_copies(df: DataFrame, text: str = "text", id_col: str = "doc_id",
     narrow = fingerprints(df, text, id_col)
     flt = RepeatFilter.build(narrow, "key", narrow.count(), max_filter_bytes=max_filter_bytes)
     sha, maybe = fresh(df, "sha"), fresh(df, "maybe")
-    cols = df.columns
+    cols = [F.col(f"`{c}`") for c in df.columns]
     keyed = df.withColumn(sha, F.sha2(normalised(F.col(text)), 256))
     marked = flt.mark(keyed, F.xxhash64(F.col(sha)), maybe)
     alone = marked.where(~F.col(maybe)).select(*cols)
-    row = F.struct(*[F.col(c) for c in cols])
-    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(*[F.col(c) for c in cols]))
+    row = F.struct(*cols)
+    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(*cols))
     one = (marked.where(F.col(maybe)).groupBy(sha).agg(F.min_by(row, order).alias("row")).select("row.*"))
     return alone.unionByName(one)

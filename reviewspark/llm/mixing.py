@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -253,17 +254,23 @@ def _numbered(rows: DataFrame, key: str, source: str, flt: RepeatFilter, name: s
 
     Only rows of the filter move; those of one key are spread by a tie-breaker, however many they are.
     """
-    maybe, tie, low = fresh(rows, "maybe"), fresh(rows, "tie"), fresh(rows, "low")
+    maybe, tie, low, of, by = (fresh(rows, c) for c in ("maybe", "tie", "low", "of", "by"))
     cols = [F.col(f"`{c}`") for c in rows.columns]
     marked = flt.mark(rows, F.xxhash64(F.col(key)), maybe)
     alone = marked.where(~F.col(maybe)).select(*cols, F.lit(0).cast("long").alias(name))
     some = marked.where(F.col(maybe)).select(*cols, F.monotonically_increasing_id().alias(tie))
     some = dense_index(some, [F.col(key), F.col(f"`{source}`"), F.col(tie)], name)
-    first = some.groupBy(F.col(key).alias("_k"), F.col(f"`{source}`").alias("_s")).agg(F.min(name).alias(low))
-    some = some.join(first, (F.col(key) == F.col("_k")) & F.col(f"`{source}`").eqNullSafe(F.col("_s")))
+    first = some.groupBy(F.col(key).alias(of), F.col(f"`{source}`").alias(by)).agg(F.min(name).alias(low))
+    some = some.join(first, (F.col(key) == F.col(of)) & F.col(f"`{source}`").eqNullSafe(F.col(by)))
     return alone.unionByName(some.select(*cols, (F.col(name) - F.col(low)).cast("long").alias(name)))
 
 
+def _own_names() -> dict[str, str]:
+    """Names for the plan's columns that no column of a caller's table has."""
+    mark = uuid.uuid4().hex[:12]
+    return {c: f"_mix_{mark}_{c}" for c in ("key", "source", "shards", "hash", "nth", "copies", "rows", "total", "least", "most")}
+
+
 def sharded_documents(df: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id",
                       seed: int = 42, shard: str = "shard", **how) -> DataFrame:
     """``mixed_documents`` with one more column: the shard that deals the copy.
@@ -272,20 +279,21 @@ def sharded_documents(df: DataFrame, text: str = "text", source: str = "source",
     (shard null).  Every row needs its shard, so here all texts are shuffled once; rows that share a key are
     numbered on both sides, so that each is joined with one row of the plan.
     """
+    own = _own_names()
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     given = F.when(F.col("size") == 0, F.array(F.lit(None).cast("int"))).otherwise(_copy_shards(copies))
     plan_ = materialize(mix(df, text, source, id_col, seed=seed, **how).select(
-        F.col("key").alias("_mix_key"), F.col("source").alias("_mix_source"), given.alias("_mix_shards")), "mix-shards")
-    repeated = materialize(plan_.groupBy("_mix_key", "_mix_source").count().where("count > 1")
-                           .select(F.xxhash64("_mix_key").alias("_mix_hash")), "mix-repeated")
-    flt = RepeatFilter.build(repeated, "_mix_hash", max(1, repeated.count()), least=1)
+        F.col("key").alias(own["key"]), F.col("source").alias(own["source"]), given.alias(own["shards"])), "mix-shards")
+    repeated = materialize(plan_.groupBy(own["key"], own["source"]).count().where("count > 1")
+                           .select(F.xxhash64(own["key"]).alias(own["hash"])), "mix-repeated")
+    flt = RepeatFilter.build(repeated, own["hash"], max(1, repeated.count()), least=1)
     key, nth = fresh(df, "key"), fresh(df, "nth")
     cols = [F.col(f"`{c}`") for c in df.columns]
     keyed = _numbered(df.withColumn(key, seeded_key(F.col(id_col), F.col(text), seed)), key, source, flt, nth)
-    plan_ = _numbered(plan_, "_mix_key", "_mix_source", flt, "_mix_nth")
-    joined = keyed.join(plan_, (keyed[key] == plan_["_mix_key"]) & keyed[source].eqNullSafe(plan_["_mix_source"])
-                        & (keyed[nth] == plan_["_mix_nth"]))
-    return joined.select(*cols, F.explode("_mix_shards").alias(shard))
+    plan_ = _numbered(plan_, own["key"], own["source"], flt, own["nth"])
+    joined = keyed.join(plan_, (keyed[key] == plan_[own["key"]]) & keyed[source].eqNullSafe(plan_[own["source"]])
+                        & (keyed[nth] == plan_[own["nth"]]))
+    return joined.select(*cols, F.explode(own["shards"]).alias(shard))
 
 
 def mixed_documents(df: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id",
@@ -296,27 +304,29 @@ def mixed_documents(df: DataFrame, text: str = "text", source: str = "source", i
     size 0 weigh nothing and stay once.  Texts are not shuffled but for rows that are not taken exactly once:
     those are found by a Bloom filter and joined, all others pass straight through.
     """
+    own = _own_names()
     copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int")
     plan_ = mix(df, text, source, id_col, seed=seed, **how).select(
-        F.col("key").alias("_mix_key"), F.col("source").alias("_mix_source"), copies.alias("_copies"))
+        F.col("key").alias(own["key"]), F.col("source").alias(own["source"]), copies.alias(own["copies"]))
     # rows equal in id, text and source share a key: their copies add up and are dealt to them evenly
-    odd = materialize(plan_.groupBy("_mix_key", "_mix_source").agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum("_copies").alias("_total"), F.min("_copies").alias("_least"),
-        F.max("_copies").alias("_most")).where("_least <> 1 or _most <> 1").withColumn("_mix_hash", F.xxhash64("_mix_key")), "mix-odd")
-    uneven = odd.where("_least <> _most").select("_mix_hash")
+    odd = materialize(plan_.groupBy(own["key"], own["source"]).agg(
+        F.count(F.lit(1)).alias(own["rows"]), F.sum(own["copies"]).alias(own["total"]), F.min(own["copies"]).alias(own["least"]),
+        F.max(own["copies"]).alias(own["most"])).where((F.col(own["least"]) != 1) | (F.col(own["most"]) != 1))
+        .withColumn(own["hash"], F.xxhash64(own["key"])), "mix-odd")
+    uneven = odd.where(F.col(own["least"]) != F.col(own["most"])).select(own["hash"])
     n_uneven = uneven.count()
-    flt = RepeatFilter.build(odd, "_mix_hash", max(1, odd.count()), least=1)
+    flt = RepeatFilter.build(odd, own["hash"], max(1, odd.count()), least=1)
     cols = [F.col(f"`{c}`") for c in df.columns]
     key, maybe = fresh(df, "key"), fresh(df, "maybe")
     keyed = flt.mark(df.withColumn(key, seeded_key(F.col(id_col), F.col(text), seed)), F.xxhash64(F.col(key)), maybe)
     alone = keyed.where(~F.col(maybe)).select(*cols)
     some, nth = keyed.where(F.col(maybe)).drop(maybe), fresh(df, "nth")
     if n_uneven:  # a run ends between rows that share a key
-        some = _numbered(some, key, source, RepeatFilter.build(uneven, "_mix_hash", n_uneven, least=1), nth)
+        some = _numbered(some, key, source, RepeatFilter.build(uneven, own["hash"], n_uneven, least=1), nth)
     else:
         some = some.withColumn(nth, F.lit(0).cast("long"))
-    joined = some.join(odd, (some[key] == odd["_mix_key"]) & some[source].eqNullSafe(odd["_mix_source"]), "left")
+    joined = some.join(odd, (some[key] == odd[own["key"]]) & some[source].eqNullSafe(odd[own["source"]]), "left")
     # row i of n stands floor((i + 1) total / n) - floor(i total / n) times
-    n = F.coalesce(F.expr(f"(`{nth}` + 1) * _total div _rows - `{nth}` * _total div _rows"), F.lit(1)).cast("int")
-    spread = joined.withColumn("_copies", F.explode(F.array_repeat(F.lit(0), n))).select(*cols)
+    n = F.coalesce(F.expr("(`{0}` + 1) * {1} div {2} - `{0}` * {1} div {2}".format(nth, own["total"], own["rows"])), F.lit(1)).cast("int")
+    spread = joined.withColumn(own["copies"], F.explode(F.array_repeat(F.lit(0), n))).select(*cols)
     return alone.unionByName(spread)
