@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,13 +47,15 @@ def worker_memory() -> dict:
     return holder.__dict__.setdefault("kept", {})
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000):
-    """While a table of texts is written: Arrow batches of so many rows, so that a worker holds few texts at a time."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+BATCH_BYTES = "8m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold ``BATCH_BYTES`` at most, unless the session names a size itself.
+
+    Batches are counted in rows by default, so a batch of long texts can take hundreds of megabytes in a worker and as
+    much again outside the heap.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, BATCH_BYTES)

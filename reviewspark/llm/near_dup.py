@@ -32,7 +32,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window  # noqa: F401
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, shuffle_partitions, small_batches, text_or_empty
+from ..operators.joins import fits
+from .common import fresh, materialize, shuffle_partitions, text_or_empty
 from .exact_dedup import RepeatFilter
 from .shingles import mix, shingle_sets
 
@@ -120,8 +121,7 @@ def sketch_table(df: DataFrame, text: str, id_col: str) -> DataFrame:
     src = df.select(F.col(id_col).alias("id"), text_or_empty(text).alias("text"),
                     F.xxhash64(text_or_empty(text)).alias("th"))
     out = src.mapInArrow(_sketch_batches, f"id {kind}, th long, n long, h1 long, h2 long, bands array<long>, sig binary")
-    with small_batches(df.sparkSession):
-        return materialize(out.select(F.monotonically_increasing_id().alias("row"), "*"), "near-sketch")
+    return materialize(out.select(F.monotonically_increasing_id().alias("row"), "*"), "near-sketch")
 
 
 def _verify_batches(batches):
@@ -146,6 +146,11 @@ def _verify_batches(batches):
         yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(v[ok])], ["u", "v"])
 
 
+def _sent(narrow: DataFrame) -> DataFrame:
+    """A written narrow table, broadcast if it is measured to be small, so that the texts it is joined with do not move."""
+    return F.broadcast(narrow) if fits(narrow) else narrow
+
+
 def verified(pairs: DataFrame, sketch: DataFrame, df: DataFrame, text: str, id_col: str) -> DataFrame:
     """The pairs (u, v) whose full shingle sets are similar enough.
 
@@ -162,19 +167,19 @@ def verified(pairs: DataFrame, sketch: DataFrame, df: DataFrame, text: str, id_c
     docs = df.select(F.col(id_col).alias("id"), text_or_empty(text).alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
     docs = flt.mark(docs, F.xxhash64("id", "th"), "maybe").where("maybe")
-    w = wanted.withColumnsRenamed({"id": "wid", "th": "wth"})
+    w = _sent(wanted.withColumnsRenamed({"id": "wid", "th": "wth"}))
     texts = docs.join(w, (docs["th"] == w["wth"]) & docs["id"].eqNullSafe(w["wid"])).select("row", "text")
     texts = materialize(texts, "near-texts")
     blocks = pairs.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("blocks"))
     blocks = materialize(blocks, "near-blocks")
-    hubs = (blocks.select(F.col("v").alias("row"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-            .join(texts, "row").select(F.col("row").alias("v"), "block", F.lit(None).cast("long").alias("u"), "text"))
-    partners = (pairs.join(blocks, "v").select("v", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int").alias("block"), "u")
-                .join(texts.withColumnRenamed("row", "u"), "u").select("v", "block", "u", "text"))
+    hubs = materialize(blocks.select(F.col("v").alias("row"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")), "near-hub-blocks")
+    hubs = (texts.join(_sent(hubs), "row").select(F.col("row").alias("v"), "block", F.lit(None).cast("long").alias("u"), "text"))
+    partners = pairs.join(_sent(blocks), "v").select("v", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int").alias("block"), "u")
+    partners = materialize(partners, "near-partners")
+    partners = texts.withColumnRenamed("row", "u").join(_sent(partners), "u").select("v", "block", "u", "text")
     dealt = (hubs.unionByName(partners).repartition(n, "v", "block")
              .sortWithinPartitions("v", "block", F.asc_nulls_first("u")))
-    with small_batches(df.sparkSession):
-        return materialize(dealt.select("v", "u", "text").mapInArrow(_verify_batches, "u long, v long"), "near-links")
+    return materialize(dealt.select("v", "u", "text").mapInArrow(_verify_batches, "u long, v long"), "near-links")
 
 
 def components(links: DataFrame) -> DataFrame:
