@@ -10,8 +10,9 @@ File: magic ``FRVB0001``, then blocks
     i64 document ids, u8 null flags, u64 values per document, control, data.
 Files hold ascending ids (nulls first) and are rolled by size; the rank table lies beside them as Parquet.
 
-Texts are tokenized whole.  White-space separated chunks are tokenized once per worker and remembered
-(bounded; never changes ids): the vocabulary's pre-tokenizer never crosses white space.  Null text is empty;
+Texts are tokenized whole, to the ids that the library gives for them; the string of a special token in a text is that
+token.  White-space separated chunks are tokenized once per worker and remembered (bounded; never changes ids) if the
+file's rules, tried out on probes, never cross white space; else every text goes to the library.  Null text is empty;
 every document ends with the end id.  Ids must be integers; rows with equal ids lie next to each other.
 """
 
@@ -37,6 +38,8 @@ ROLL_BYTES = 64 << 20
 _CACHE = 350_000  # chunks in a generation of a worker's memory
 _HEAD = "<IQQQ"
 
+_PROBES = ("Ab ab AB", "word, Word. WORD! mixed1 a-b it's", "\u00c9t\u00e9 \u00fcber, stra\u00dfe", "x<|y |z| <a> <|endoftext|>b", "1234 5.6 a_b", "  two  spaces\nline")
+
 # length of each of the four values of a control byte
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 
@@ -76,7 +79,6 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cutting = Tokenizer.from_file(path)
         special = [t.content for t in self.cutting.get_added_tokens_decoder().values() if t.special]
         self.mark = special[0] if special else None
@@ -87,6 +89,11 @@ class WordTokenizer:
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        lowered = self.plain.normalizer.normalize_str("Ab") if self.plain.normalizer is not None else "Ab"
+        self.lower = lowered == "ab"  # ASCII words of one spelling but for case are one chunk
+        # what the chunks rely on, tried out: a file with other rules is left to the library text by text
+        self.chunked = all(b"".join(self._chunks_of([t])[0]) == np.array(self.plain.encode(t, add_special_tokens=False).ids, self.kind).tobytes()
+                           for t in _PROBES)
 
     def _letters(self, words: list[str]) -> bool:
         """Encode words of plain letters in one call: each is one pre-token, and its last token says so."""
@@ -107,7 +114,7 @@ class WordTokenizer:
             word, mark = c, None
             if not c.isalpha() and c[:-1].isalpha() and c[-1] in ".,;:!?":
                 word, mark = c[:-1], c[-1]
-            if word.isascii():
+            if self.lower and word.isascii():
                 word = word.lower()
             if mark is not None:
                 parts[c] = (word, mark)
@@ -135,8 +142,14 @@ class WordTokenizer:
             known[c] = b"".join(map(known.__getitem__, two))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.chunked:
+            return [np.array(e.ids, self.kind).tobytes() for e in self.plain.encode_batch(texts, add_special_tokens=False)]
         if len(self.known) > _CACHE:  # the generation before stays at hand: frequent chunks move over
             self.older, self.known = self.known, {"": b""}
+        return [b"".join(c) for c in self._chunks_of(texts)]
+
+    def _chunks_of(self, texts: list[str]):
+        """The ids of every text's chunks."""
         chunks = [t.replace("\n", " ").split(" ") for t in texts]
         known, older = self.known, self.older
         new = set().union(*chunks).difference(known)
@@ -146,7 +159,7 @@ class WordTokenizer:
         if new:
             self._learn(new)
         get = known.__getitem__
-        return [b"".join(map(get, cs)) for cs in chunks]
+        return [map(get, cs) for cs in chunks]
 
 
 def tokenizer(path: str) -> WordTokenizer:
