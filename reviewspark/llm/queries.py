@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from . import (bpe, chat, exact_dedup, hard_negatives, mixing, near_dup, packing, pii, spelling, token_file, toxicity, vafile,
                warc)
-from .common import table
+from .common import bounded_batches, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -19,10 +19,14 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            bounded_batches(spark)
+            return fn(spark, sf_dir)
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
-        return fn
+        return run
     return deco
 
 
@@ -76,12 +80,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op7_va_search", """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS a FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS row, vec_id,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS a FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+s AS (SELECT q.row AS q, q.vec_id AS query_id, c.vec_id AS vec_id,
              CAST(list_sum(list_transform(list_zip(q.a, c.a), lambda z: z[1] * z[2])) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.row <> c.row AND len(q.a) = len(c.a)),
+r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""")
 def op7_va_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
