@@ -352,13 +352,13 @@ def drop_near_copies(df: DataFrame, text: str = "text", id_col: str = "doc_id")
     cols = df.columns
     th, maybe, size = fresh(df, "th"), fresh(df, "maybe"), fresh(df, "copies")
     marked = flt.mark(df.withColumn(th, F.xxhash64(text_or_empty(text))), F.xxhash64(F.col(id_col), F.col(th)), maybe)
-    alone = marked.where(~F.col(maybe)).select(*cols)
+    alone = marked.where(~F.col(maybe)).select(*[F.col(f"`{c}`") for c in cols])
     some = marked.where(F.col(maybe)).drop(maybe)
     # rows equal in id and text are one row here: either all were copies of another row, or one of them stays
     fate = moved.groupBy(F.col("id").alias("_fid"), F.col("th").alias("_fth")).agg(F.max("stays").alias(size))
     row = F.struct(*[F.col(f"`{c}`") for c in cols])
     joined = some.join(fate, (some[th] == fate["_fth"]) & some[id_col].eqNullSafe(fate["_fid"]), "left")
-    free = joined.where(F.col(size).isNull()).select(*[some[c] for c in cols])
-    stay = joined.where(F.col(size)).select(*[some[c] for c in cols], some[th])
+    free = joined.where(F.col(size).isNull()).select(*[some[f"`{c}`"] for c in cols])
+    stay = joined.where(F.col(size)).select(*[some[f"`{c}`"] for c in cols], some[th])
     one = stay.groupBy(F.col(id_col), F.col(th)).agg(F.min_by(row, F.xxhash64(*[F.col(f"`{c}`") for c in cols])).alias("row"))
     return alone.unionByName(free).unionByName(one.select("row.*"))

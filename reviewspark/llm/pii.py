@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import materialize, smallest, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 96, 48
@@ -385,7 +385,7 @@ def _training_rows(docs: DataFrame, text: str, id_col: str) -> tuple[np.ndarray,
     rows = materialize(src.mapInArrow(run, "key string, has boolean, x binary, y binary"), "pii-windows")
     order = ["key", "x", "y"]
     found = [r for has in (True, False)
-             for r in rows.where(F.col("has") == has).orderBy(*order).limit(SAMPLE // 2).collect()]
+             for r in smallest(rows.where(F.col("has") == has), F.col("key"), SAMPLE // 2, order).collect()]
     x, y = np.full((len(found), WINDOW), PAD, np.int64), np.zeros((len(found), WINDOW), np.int64)
     for k, r in enumerate(found):
         x[k, :len(r["x"])] = np.frombuffer(r["x"], np.uint8)

@@ -114,7 +114,7 @@ class WordTokenizer:
             word, mark = c, None
             if not c.isalpha() and c[:-1].isalpha() and c[-1] in ".,;:!?":
                 word, mark = c[:-1], c[-1]
-            if self.lower and word.isascii():
+            if self.lower and word.isascii() and word.isalpha():
                 word = word.lower()
             if mark is not None:
                 parts[c] = (word, mark)

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import materialize, smallest, text_or_empty
 from .shingles import _C, _CHUNK, _P, _PINV, _powers, mix, string_buffers  # noqa: F401
 
 SAMPLE = 12_000
@@ -315,8 +315,9 @@ def held_out(id_col: str):
 def _sample(docs: DataFrame, labels: DataFrame, text: str, id_col: str, label: str) -> DataFrame:
     """At most ``SAMPLE`` labelled training rows (part, toxic, text), written once."""
     some = (labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("toxic"))
-            .where(F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out("id"))
-            .orderBy(F.md5(F.col("id").cast("string")), "id", "toxic").limit(SAMPLE))
+            .where(F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out("id")))
+    key = F.md5(F.col("id").cast("string"))
+    some = smallest(some, key, SAMPLE, [key, "id", "toxic"])
     part = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("part")), F.lit(10))
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text).alias("text")).join(F.broadcast(some), "id")
     return materialize(rows.select(part.cast("int").alias("part"), "toxic", "text"), "toxic-sample")

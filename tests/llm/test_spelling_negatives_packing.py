@@ -266,3 +266,50 @@ def test_islands_migrate_and_finish(spark):
     for r in rows:
         size, bins = np.frombuffer(r.sizes, "<i8"), np.frombuffer(r.bins, "<i4")
         assert np.bincount(bins, size).max() <= 2048 and bins.max() + 1 == r.n_bins
+
+
+# ---- mended operators -------------------------------------------------------------
+
+
+def test_smallest_is_the_sorted_head(spark):
+    from pyspark.sql import functions as F
+    from reviewspark.llm.common import smallest
+    df = spark.range(3000).select("id", F.md5(F.col("id").cast("string")).alias("k")).repartition(6)
+    want = [r.id for r in df.orderBy("k", "id").limit(70).collect()]
+    assert [r.id for r in smallest(df, F.col("k"), 70, ["k", "id"]).collect()] == want
+    assert smallest(df, F.col("k"), 5000, ["k", "id"]).count() == 3000 and smallest(df.where("false"), F.col("k"), 5, ["k"]).count() == 0
+
+
+def test_without_a_model_no_document_is_dropped(spark):
+    from reviewspark.llm import toxicity
+    docs = spark.createDataFrame([(i, f"some text {i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert toxicity.drop_toxic(docs, labels).count() == 20
+    assert toxicity.drop_toxic(docs, labels.where("false")).count() == 20
+
+
+def test_stages_with_clashing_names(spark):
+    from reviewspark.llm import exact_dedup, mixing, near_dup
+    rows = [(i, f"word{i % 9} " * (i % 7 + 1), f"s{i % 3}", i, "x", 2, i) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _rows long, `_mix_key` string, `a.b` int, _k long")
+    out = mixing.mixed_documents(df)
+    assert out.columns == df.columns and out.count() > 0
+    assert near_dup.drop_near_copies(df).columns == df.columns
+    one = exact_dedup.drop_exact_copies(df)
+    assert one.columns == df.columns and one.count() == len({" ".join(r[1].split(" ")) for r in rows})
+
+
+def test_special_strings_are_the_librarys_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    from reviewspark.llm import token_file
+    path = public_tokenizers.path(token_file.VOCABULARY)
+    tok, own = Tokenizer.from_file(path), token_file.WordTokenizer(path)
+    texts = ["a <|startoftext|> b", "<|endoftext|>", "x<|endoftext|>Y, z.", "plain Words, here.", "", "<|ENDOFTEXT|>"]
+    assert own.chunked and own.lower
+    assert [np.frombuffer(x, own.kind).tolist() for x in own.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    # a cased vocabulary is not lower-cased: it is left to the library where chunks would not do
+    cased = public_tokenizers.path("byte_bpe_50k.json")
+    tok, own = Tokenizer.from_file(cased), token_file.WordTokenizer(cased)
+    texts = ["Two Words two words", "a<|endoftext|>B", "x  y\nz"]
+    assert [np.frombuffer(x, own.kind).tolist() for x in own.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
