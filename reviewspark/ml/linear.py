@@ -1,4 +1,4 @@
-"""Linear text classifiers as Spark ML pipelines.
+"""Linear text classifiers as Spark ML pipelines, to be saved and loaded whole (``ml.span`` fits them at scale).
 
 Tokens come from built-in expressions (the same cleaning and tokenising as
 the relational operators); counting, idf, normalising and the solvers are
@@ -14,7 +14,7 @@ import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -66,74 +66,26 @@ def with_token_columns(df: DataFrame, text: str = "text", ngram_hi: int = 1) ->
     return out
 
 
-def sparse_vectors(rows: DataFrame, docs: DataFrame, size: int, value: str, name: str, key: str = "doc_id") -> DataFrame:
-    """``docs`` with a sparse vector column ``name`` from ``rows(doc_id, idx, value)``; no rows: the zero vector.
-
-    One document's terms meet in one row (bounded by the distinct terms of one text); the per-row function only
-    packs them.
-    """
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-    pack = F.udf(lambda i, v: SparseVector(size, i or [], v or []), VectorUDT())
-    per = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("idx", F.col(value).cast("double").alias("x")))).alias("_t"))
-    ids = F.transform("_t", lambda t: t["idx"].cast("int"))
-    return (docs.join(per, key, "left").withColumn(name, pack(ids, F.transform("_t", lambda t: t["x"]))).drop("_t"))
-
-
-def counted_features(docs: DataFrame, text: str = "text", ngram_hi: int = 1, fit: str = "split = 'train'"):
-    """``(features table, vocabulary size)``: term counts ``tf`` as sparse vectors on the counted vocabulary.
-
-    The vocabulary is every 1..``ngram_hi``-gram of the rows that ``fit`` selects, indexed by the distributed
-    alphabetical rank: no hashing, no cap, nothing on the driver but its size.  Counts are written once; terms
-    outside the vocabulary drop out of the other rows.  Hot terms are joined apart.
-    """
-    from ..operators.vocab import vocab_alpha
-    from ..operators.weights import split_join
-    from ..session import materialize
-    grams = ngram_range(F.col("_tk"), 1, ngram_hi) if ngram_hi > 1 else F.col("_tk")
-    keep = [c for c in docs.columns if c != text]
-    long = (docs.withColumn("_tk", word_tokens(clean_sentence(text))).select(*keep, F.explode(grams).alias("token")))
-    tf = materialize(long.groupBy(*keep, "token").agg(F.count(F.lit(1)).alias("tf")), "counted-tf")
-    vocab = materialize(vocab_alpha(tf.where(fit).select("token")), "counted-vocab")
-    size = max(1, vocab.count())
-    rows = split_join(tf, vocab)
-    table = sparse_vectors(rows, docs.select(*keep), size, "tf", "tf")
-    return materialize(table, "counted-features"), size
-
-
-def solver_stages(reg_param: float = 1e-3, use_idf: bool = True, input_col: str = "tf"):
-    """Smooth idf (fitted on the training rows) -> L2 normaliser, over a count vector column."""
-    return [SmoothIdf(inputCol=input_col, outputCol="tfidf", useIdf=use_idf),
-            Normalizer(inputCol="tfidf", outputCol="features", p=2.0)]
-
-
-def svm(reg_param: float = 1e-3, max_iter: int = 20) -> LinearSVC:
-    """``aggregationDepth`` 3: wide gradients are summed in a deeper tree, not all at the driver."""
-    return LinearSVC(featuresCol="features", labelCol="label", regParam=reg_param, maxIter=max_iter,
-                     standardization=False, aggregationDepth=3)
-
-
-def text_features(input_col: str = "tokens", hashed: bool = False, num_features: int = 1 << 18,
-                  use_idf: bool = True):
+def text_features(input_col: str = "tokens", use_idf: bool = True):
     """Stages for a saved pipeline over token arrays: counts -> smooth idf -> L2 normaliser.
 
     ``CountVectorizer`` holds its vocabulary on the driver and keeps the 4,194,304 most frequent terms at most;
-    ``hashed=True`` merges terms.  ``counted_features`` does neither and is what the model queries use."""
-    counts = (HashingTF(inputCol=input_col, outputCol="tf", numFeatures=num_features) if hashed
-              else CountVectorizer(inputCol=input_col, outputCol="tf", vocabSize=1 << 22, minDF=1.0))
-    return [counts, SmoothIdf(inputCol="tf", outputCol="tfidf", useIdf=use_idf),
+    ``ml.span``, which the model queries use, has neither limit."""
+    return [CountVectorizer(inputCol=input_col, outputCol="tf", vocabSize=1 << 22, minDF=1.0),
+            SmoothIdf(inputCol="tf", outputCol="tfidf", useIdf=use_idf),
             Normalizer(inputCol="tfidf", outputCol="features", p=2.0)]
 
 
-def svm_pipeline(reg_param: float = 1e-3, max_iter: int = 20, hashed: bool = False, input_col: str = "tokens"):
+def svm_pipeline(reg_param: float = 1e-3, max_iter: int = 20, input_col: str = "tokens"):
     """tokens -> counts -> tf-idf -> linear SVM (hinge loss, L2)."""
     svm = LinearSVC(featuresCol="features", labelCol="label", regParam=reg_param, maxIter=max_iter,
                     standardization=False)
-    return Pipeline(stages=text_features(input_col, hashed) + [svm])
+    return Pipeline(stages=text_features(input_col) + [svm])
 
 
-def logreg_pipeline(reg_param: float = 1e-3, max_iter: int = 50, hashed: bool = False, input_col: str = "tokens"):
+def logreg_pipeline(reg_param: float = 1e-3, max_iter: int = 50, input_col: str = "tokens"):
     lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg_param, maxIter=max_iter)
-    return Pipeline(stages=text_features(input_col, hashed) + [lr])
+    return Pipeline(stages=text_features(input_col) + [lr])
 
 
 def margin(col: str = "rawPrediction"):

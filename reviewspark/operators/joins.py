@@ -21,10 +21,11 @@ BROADCAST_BYTE_BUDGET = 128 << 20
 def measured(small: DataFrame) -> tuple[int, int]:
     """(rows, bytes) of a written table: one partial + final aggregate, one row per task.
 
-    Bytes count the text and binary columns in full, 16 bytes a row for every other column.
+    Bytes count the text and binary columns in full, 8 bytes an array element, 16 bytes a row for every column besides.
     """
-    wide = [c for c, t in small.dtypes if t in ("string", "binary")]
-    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in wide), F.lit(16 * len(small.columns)))
+    wide = [F.octet_length(c) for c, t in small.dtypes if t in ("string", "binary")]
+    wide += [8 * F.size(c) for c, t in small.dtypes if t.startswith("array")]
+    size = sum((F.coalesce(c, F.lit(0)) for c in wide), F.lit(16 * len(small.columns)))
     r = small.agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("long")).alias("b")).first()
     return r["n"], r["b"] or 0
 

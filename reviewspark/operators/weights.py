@@ -22,9 +22,17 @@ def term_counts(tokens_long: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def split_join(tf: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
-    """Join written term counts with a written per-token table, hot tokens apart (``joins.skew_split_join``)."""
-    from .joins import skew_split_join
-    return skew_split_join(tf, table, "token", tf.groupBy("token").agg(F.count(F.lit(1)).alias("n")), how=how)
+    """Join written term counts with a written per-token table.
+
+    A table measured to be small is broadcast, so the counts do not move; beyond that hot tokens are joined apart
+    (``joins.skew_split_join``), by token counts that are written once.
+    """
+    from ..session import materialize
+    from .joins import fits, skew_split_join
+    if fits(table):
+        return tf.join(F.broadcast(table), "token", how)
+    counts = materialize(tf.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token-counts")
+    return skew_split_join(tf, table, "token", counts, how=how)
 
 
 def term_counts_in_vocab(tokens_long: DataFrame, vocab: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -76,11 +84,10 @@ def tfidf_log(tf: DataFrame, docs: DataFrame) -> DataFrame:
     """Log-scaled tf-idf of the frequency tokeniser's matrix mode:
     ``(1 + ln tf) * ln(1 + N / (1 + df))``, not normalised."""
     from ..session import materialize
-    from .joins import skew_split_join
     n = n_docs(docs)
     tf = materialize(tf, "tf")  # read twice: the texts are tokenised once
     df_t = materialize(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "df")
-    return (skew_split_join(tf, df_t, "token", df_t, count_col="df")
+    return (split_join(tf, df_t)
               .select("doc_id", "token", "tf",
                       ((F.lit(1.0) + F.log(F.col("tf"))) *
                        F.log(F.lit(1.0) + n / (F.lit(1.0) + F.col("df")))).alias("w")))
@@ -96,12 +103,9 @@ def fit_transform_tfidf(tokens_long: DataFrame, docs: DataFrame, key: str = "doc
     cut, survives executor loss) and read twice.
     """
     from ..session import materialize
-    from .joins import skew_split_join
     tf = materialize(term_counts(tokens_long, key), "tf")
     idf_table = materialize(idf(tf, docs), "idf")
-    # tokens present in a large share of the documents (``the``) are joined
-    # by broadcast, the rest by a shuffle join without hot keys
-    raw = (skew_split_join(tf, idf_table.select("token", "idf"), "token", idf_table, count_col="df")
+    raw = (split_join(tf, idf_table.select("token", "idf"))
            .withColumn("w", F.col("tf") * F.col("idf")).drop("idf"))
     return tf, idf_table, _l2(raw.select(key, "token", "tf", "w"), "w", key)
 

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from ..catalog import query
 from ..functions import tokens as T
+from ..functions.hashing import md5_bucket
 from ..operators import evaluate as Ev
+from ..operators import sketches as Sk
 from ..oracle import sqltext as S
+from ..session import shared_path
 from .common import SQL_SCORED, SQL_SENTENCES, rnd, scored_labelled, sentences_labelled
 
 
@@ -76,3 +79,18 @@ def q_join_predictions(spark, sf):
     docs = sentences_labelled(spark, sf)
     preds = scored_labelled(spark, sf).select("doc_id", rnd("pred").alias("pred"))
     return Ev.with_predictions(docs, preds).select("doc_id", "text", "label", "pred")
+
+
+@query("word_profile")
+def q_word_profile(spark, sf):
+    """Words per cleaned labelled document and their different tokens, from stored sketches: the first half of the
+    table's parts is profiled and stored, the other half extends it, and the answer is merged from the stored rows."""
+    docs = sentences_labelled(spark, sf).withColumn("part", md5_bucket("part", "doc_id", 8))
+    counted = docs.select("part", T.word_count("text").alias("n_words"))
+    tokens = docs.select("part", F.explode(T.word_tokens("text")).alias("token"))
+    numbers, items = shared_path(spark, "number-profile"), shared_path(spark, "item-profile")
+    for parts in (F.col("part") < 4, F.col("part") >= 4):
+        Sk.extend(Sk.number_profile(counted.where(parts), "n_words", "part"), numbers)
+        Sk.extend(Sk.item_profile(tokens.where(parts), "token", "part"), items)
+    distinct = Sk.merged_items(Sk.stored(spark, items)).select("n_distinct").scalar()
+    return Sk.merged_numbers(Sk.stored(spark, numbers)).withColumn("distinct_tokens", distinct)

@@ -12,6 +12,7 @@ from ..catalog import query
 from ..functions import clean as C
 from ..functions import tokens as T
 from ..functions.fixed import STOP_WORDS
+from ..operators import sentences as Sn
 from ..operators.tokens import explode_tokens, ngram_table, sentence_corpus
 from ..oracle import sqltext as S
 from ..sources import tables
@@ -188,3 +189,55 @@ def q_tokens_no_stop(spark, sf):
     long = explode_tokens(lab, T.review_words("text"))
     stops = spark.createDataFrame([(w,) for w in STOP_WORDS], "token string")
     return long.join(F.broadcast(stops), "token", "left_anti").select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token")
+
+
+def _q(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_XLOGY = lambda x, y: f"(CASE WHEN {x} = 0 THEN 0.0 ELSE {x} * ln({y}) END)"
+_SQL_WORD_STOPS = (
+    f"w AS (SELECT doc_id, unnest(tk) AS word, generate_subscripts(tk, 1) AS i FROM (SELECT doc_id, "
+    f"list_filter(regexp_split_to_array(coalesce(text, ''), {_q(Sn.SPACE)}), lambda x: x <> '') AS tk FROM documents)), "
+    f"t0 AS (SELECT doc_id, i, word, lead(word) OVER (PARTITION BY doc_id ORDER BY i) AS nxt, "
+    f"lower(regexp_replace(word, {_q(Sn.AROUND)}, '', 'g')) AS c FROM w), "
+    r"t AS (SELECT *, regexp_replace(c, '\.+$', '') AS b, regexp_replace(lower(regexp_replace(nxt, " + _q(Sn.AROUND) + r", '', 'g')), '\.+$', '') AS nb, "
+    "c LIKE '%.' AS stop FROM t0), "
+    "p AS (SELECT b, CAST(sum(CAST(stop AS INT)) AS DOUBLE) AS s, CAST(sum(CAST(NOT stop AS INT)) AS DOUBLE) AS pl FROM t "
+    "WHERE regexp_matches(b, '[a-z]') GROUP BY b), "
+    "r AS (SELECT sum(s) / sum(s + pl) AS rate FROM p), "
+    f"a0 AS (SELECT b, s, pl, length(b) - length(replace(b, '.', '')) AS inr, -2.0 * ({_XLOGY('s', 'rate')} + {_XLOGY('pl', '(1.0 - rate)')} "
+    f"- {_XLOGY('s', 'CAST(0.99 AS DOUBLE)')} - {_XLOGY('pl', 'CAST(0.01 AS DOUBLE)')}) AS ratio FROM p, r), "
+    f"ab AS (SELECT *, ratio * exp(-CAST(length(b) - inr AS DOUBLE)) * (inr + 1.0) * pow(CAST(length(b) - inr AS DOUBLE), -pl) AS score "
+    f"FROM a0 WHERE s > 0 QUALIFY score >= {Sn.ABBREVIATION})")
+_SQL_TRAINED = (
+    f"WITH {_SQL_WORD_STOPS}, "
+    f"u AS (SELECT t.*, ab.b IS NOT NULL AS is_ab, regexp_matches(word, {_q(Sn.CLOSES)}) AS closes FROM t LEFT JOIN ab ON t.b = ab.b), "
+    "q AS (SELECT nb AS b, CAST(count(*) AS DOUBLE) AS a, CAST(sum(CAST(closes AND NOT (stop AND is_ab) AS INT)) AS DOUBLE) AS k FROM u "
+    "WHERE nxt IS NOT NULL AND regexp_matches(nb, '[a-z]') GROUP BY nb), "
+    "z AS (SELECT sum(a) AS n, sum(k) AS br FROM q), "
+    "st AS (SELECT q.b FROM q, z WHERE a < n AND k / a > br / n AND -2.0 * ("
+    + " + ".join([_XLOGY("k", "(br / n)"), _XLOGY("(a - k)", "(1.0 - br / n)"), _XLOGY("(br - k)", "(br / n)"), _XLOGY("(n - a - br + k)", "(1.0 - br / n)")])
+    + " - (" + " + ".join([_XLOGY("k", "(k / a)"), _XLOGY("(a - k)", "(1.0 - k / a)"), _XLOGY("(br - k)", "((br - k) / (n - a))"),
+                           _XLOGY("(n - a - br + k)", "(1.0 - (br - k) / (n - a))")])
+    + f")) >= {Sn.STARTER}), "
+    "e AS (SELECT doc_id, i, word, nxt IS NULL OR (closes AND CASE WHEN stop THEN CASE WHEN is_ab OR (length(u.b) = 1 AND regexp_matches(u.b, '[a-z]')) "
+    "THEN regexp_matches(nxt, '^[^A-Za-z0-9]*[A-Z]') AND st.b IS NOT NULL ELSE NOT (regexp_matches(u.b, '^[0-9]+$') AND regexp_matches(nxt, '^[a-z]')) END "
+    "ELSE true END) AS fin FROM u LEFT JOIN st ON u.nb = st.b), "
+    "g AS (SELECT *, coalesce(sum(CAST(fin AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no FROM e) "
+    "SELECT doc_id, CAST(no AS BIGINT) AS sent_no, string_agg(word, ' ' ORDER BY i) AS sentence FROM g GROUP BY doc_id, no")
+
+
+@query("abbreviations", f"WITH {_SQL_WORD_STOPS} SELECT b AS word, CAST(s AS BIGINT) AS n_stop, CAST(pl AS BIGINT) AS n_plain, "
+       "round(score, 4) AS score FROM ab")
+def q_abbreviations(spark, sf):
+    """The abbreviations that the corpus teaches: words that nearly always carry a full stop."""
+    found = Sn.abbreviations(Sn.word_pairs(tables.documents(spark, sf)))
+    return found.select("word", "n_stop", "n_plain", F.round("score", 4).alias("score"))
+
+
+@query("sentences_trained", _SQL_TRAINED)
+def q_sentences_trained(spark, sf):
+    """Sentences cut at boundaries learned from the corpus: no cut after abbreviations but before sentence starters."""
+    out = Sn.trained_sentences(tables.documents(spark, sf).select("doc_id", "text"))
+    return out.withColumn("sent_no", F.col("sent_no").cast("bigint"))

@@ -11,6 +11,7 @@ from ..operators import vectors as V
 from ..operators.tokens import explode_tokens
 from ..operators.vocab import vocab_first_seen
 from ..oracle import sqltext as S
+from ..session import materialize
 from ..sources import tables
 from ..sources.vectors import SQL_BOUND_VECTORS, bound_vectors
 from .common import LABELLED, SQL_CLEAN_LONG, reviews_labelled, rnd
@@ -91,5 +92,7 @@ def q_most_similar(spark, sf):
        f"/ (CAST(c.c AS DOUBLE) / CAST(tot.n AS DOUBLE)))")
 def q_subsample_words(spark, sf):
     """Frequent-word downsampling (t = 1e-3, seed 8) of the labelled review words."""
-    return V.subsample_words(_words_long(spark, sf), 1e-3, 8) \
-            .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token")
+    docs = materialize(tables.labelled_documents(spark, sf).select("doc_id", T.review_words("text").alias("words")), "review-words")
+    kept = V.subsample_arrays(docs, "words", ("doc_id",), 1e-3, 8)
+    return (kept.select("doc_id", F.explode("words").alias("w"))
+            .select("doc_id", F.col("w.pos").cast("bigint").alias("pos"), "w.token"))

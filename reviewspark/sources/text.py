@@ -8,12 +8,13 @@ are read in order, so the key follows the file without a driver-side pass.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clean import clean_sentence, strip_line
-from ..operators.ranking import dense_index
+from ..operators.joins import fits
+from ..session import materialize
 
 REVIEW_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -35,13 +36,25 @@ def with_line_order(df: DataFrame) -> DataFrame:
 
 def read_lines(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
     """One row per line, stripped of surrounding whitespace: ``(text)``; with
-    ``numbered`` also a 1-based ``line_no`` in file order."""
+    ``numbered`` also a 1-based ``line_no`` in file order.
+
+    The lines of a split are in order where they are read, so only the number of lines per split is counted: one
+    row a split, whose running total over (file, start) gives every split the number of its first line.  That narrow
+    table is joined back (broadcast if measured to be small); the texts do not move.
+    """
     df = spark.read.text(path)
     if not numbered:
         return df.select(strip_line("value").alias("text"))
     ordered = with_line_order(df)
-    ranked = dense_index(ordered, [F.col("_file"), F.col("_start"), F.col("_row")], name="line_no")
-    return ranked.select("line_no", strip_line("value").alias("text"))
+    # the same files are cut into the same splits and tasks, so the row numbers of both readings agree
+    splits = ordered.groupBy("_file", "_start").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select(F.col("_file").alias("_f"), F.col("_start").alias("_s"),
+                            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    offsets = materialize(offsets, "line-offsets")
+    table = F.broadcast(offsets) if fits(offsets) else offsets
+    numbered_ = ordered.join(table, (F.col("_file") == F.col("_f")) & (F.col("_start") == F.col("_s")))
+    return numbered_.select((F.col("_row") + F.col("_shift") + 1).alias("line_no"), strip_line("value").alias("text"))
 
 
 def pos_neg_source(pos: DataFrame, neg: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -68,15 +68,36 @@ def test_cnn_gradient_finite_difference():
         assert abs(num - g[i]) < 1e-4 * max(1.0, abs(num))
 
 
-def test_cnn_data_parallel_gradient_independent_of_partitions(spark):
+def test_cnn_fit_is_independent_of_partitions(spark):
     spec, emb, x, y = _tiny()
-    rows = [(i, int(y[i]), [int(v) for v in x[i]]) for i in range(len(y))]
+    rng = np.random.default_rng(5)
+    rows = [(i, int(rng.integers(0, 2)), [int(v) for v in rng.integers(0, 20, 12)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, label int, x array<int>")
+    fits = [cnn.fit(df.repartition(n), spec, emb, epochs=2, batch_size=8, local_steps=2, workers=4) for n in (1, 5)]
+    assert np.allclose(fits[0][0], fits[1][0]) and np.allclose([h[3] for h in fits[0][1]], [h[3] for h in fits[1][1]])
+
+
+def test_a_round_averages_its_cells_by_rows(spark):
+    """Two cells trained apart in numpy, averaged by rows, are what one round gives."""
+    spec, emb, x, y = _tiny()
+    rng = np.random.default_rng(6)
+    rows = [(i, int(rng.integers(0, 2)), [int(v) for v in rng.integers(0, 20, 12)]) for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, label int, x array<int>")
+    table, rounds = cnn.dealt_rows(df, spec, 10, 2, 4)
+    assert rounds == 1
     theta = spec.init()
-    g1, l1, n1 = cnn._grad_job(df.repartition(1), spec, theta, emb, 1, False, "x", 4)
-    g4, l4, n4 = cnn._grad_job(df.repartition(4), spec, theta, emb, 1, False, "x", 4)
-    assert n1 == n4 == len(y)
-    assert np.allclose(g1, g4) and abs(l1 - l4) < 1e-9
+    state = np.concatenate([theta, np.zeros_like(theta), np.zeros_like(theta)])
+    got, loss, n = cnn.run_round(table, spec, emb, state, 0, 1, 10, False, 4)
+    want, total = np.zeros_like(state), 0
+    cells = {}
+    for r in table.collect():
+        cells.setdefault(r.cell, []).append(r)
+    for held in cells.values():
+        held.sort(key=lambda r: r.doc_id)
+        new, part = cnn.adam_steps(spec, emb, np.array([r.doc_id for r in held]), np.array([r.x for r in held]),
+                                   np.array([float(r.label) for r in held]), state, 0, 1, 10, False)
+        want, total = want + len(held) * new, total + part
+    assert n == 40 and len(cells) == 2 and np.allclose(got, want / 40) and abs(loss - total) < 1e-9
 
 
 def test_gradient_rows_are_summed_in_several_tasks(spark):
@@ -115,6 +136,8 @@ def test_cnn_fit_resumes_from_state(spark, tmp_path):
     resumed, hist = cnn.fit(df, spec, emb, epochs=2, batch_size=100, dropout=False, state_path=path)
     assert np.allclose(full, resumed)
     assert [h[:3] for h in hist] == [h[:3] for h in hist_full]
+    one, hist = cnn.fit(df, spec, emb, epochs=1, batch_size=100, dropout=False, state_path=path)  # an earlier epoch's state
+    assert len(hist) == 1 and not np.allclose(one, full)
 
 
 def test_pipeline_with_smooth_idf_saves_and_loads(spark, tmp_path):
