@@ -208,8 +208,8 @@ _SQL_WORD_STOPS = (
     "r AS (SELECT sum(s) / sum(s + pl) AS rate FROM p), "
     f"a0 AS (SELECT b, s, pl, length(b) - length(replace(b, '.', '')) AS inr, -2.0 * ({_XLOGY('s', 'rate')} + {_XLOGY('pl', '(1.0 - rate)')} "
     f"- {_XLOGY('s', 'CAST(0.99 AS DOUBLE)')} - {_XLOGY('pl', 'CAST(0.01 AS DOUBLE)')}) AS ratio FROM p, r), "
-    f"ab AS (SELECT *, ratio * exp(-CAST(length(b) - inr AS DOUBLE)) * (inr + 1.0) * pow(CAST(length(b) - inr AS DOUBLE), -pl) AS score "
-    f"FROM a0 WHERE s > 0 QUALIFY score >= {Sn.ABBREVIATION})")
+    f"ab AS (SELECT * FROM (SELECT *, ratio * exp(-CAST(length(b) - inr AS DOUBLE)) * (inr + 1.0) * pow(CAST(length(b) - inr AS DOUBLE), -pl) AS score "
+    f"FROM a0 WHERE s > 0) WHERE score >= {Sn.ABBREVIATION})")
 _SQL_TRAINED = (
     f"WITH {_SQL_WORD_STOPS}, "
     f"u AS (SELECT t.*, ab.b IS NOT NULL AS is_ab, regexp_matches(word, {_q(Sn.CLOSES)}) AS closes FROM t LEFT JOIN ab ON t.b = ab.b), "
