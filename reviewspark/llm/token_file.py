@@ -35,7 +35,7 @@ END_ID = 2
 MAGIC = b"FRVB0001"
 BLOCK_VALUES = 1 << 19
 ROLL_BYTES = 64 << 20
-_CACHE = 350_000  # chunks in a generation of a worker's memory
+_CACHE = 500_000  # chunks in a generation of a worker's memory
 _HEAD = "<IQQQ"
 
 _PROBES = ("Ab ab AB", "word, Word. WORD! mixed1 a-b it's", "\u00c9t\u00e9 \u00fcber, stra\u00dfe", "x<|y |z| <a> <|endoftext|>b", "1234 5.6 a_b", "  two  spaces\nline")
