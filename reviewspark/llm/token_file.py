@@ -35,7 +35,7 @@ END_ID = 2
 MAGIC = b"FRVB0001"
 BLOCK_VALUES = 1 << 19
 ROLL_BYTES = 64 << 20
-_CACHE = 500_000  # chunks in a generation of a worker's memory
+_CACHE = 350_000  # chunks in a generation of a worker's memory
 _HEAD = "<IQQQ"
 
 _PROBES = ("Ab ab AB", "word, Word. WORD! mixed1 a-b it's", "\u00c9t\u00e9 \u00fcber, stra\u00dfe", "x<|y |z| <a> <|endoftext|>b", "1234 5.6 a_b", "  two  spaces\nline")
@@ -79,6 +79,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.plain = Tokenizer.from_file(path)
+        self.words = Tokenizer.from_file(path)  # for words of letters, which hold no special string
+        self.words.encode_special_tokens = True
         self.cutting = Tokenizer.from_file(path)
         special = [t.content for t in self.cutting.get_added_tokens_decoder().values() if t.special]
         self.mark = special[0] if special else None
@@ -90,14 +92,14 @@ class WordTokenizer:
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         lowered = self.plain.normalizer.normalize_str("Ab") if self.plain.normalizer is not None else "Ab"
-        self.lower = lowered == "ab"  # ASCII words of one spelling but for case are one chunk
+        self.lower = lowered == "ab" and all(set("<>|") & set(t) for t in special)  # ASCII words of one spelling but for case are one chunk
         # what the chunks rely on, tried out: a file with other rules is left to the library text by text
         self.chunked = all(b"".join(self._chunks_of([t])[0]) == np.array(self.plain.encode(t, add_special_tokens=False).ids, self.kind).tobytes()
                            for t in _PROBES)
 
     def _letters(self, words: list[str]) -> bool:
         """Encode words of plain letters in one call: each is one pre-token, and its last token says so."""
-        ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int64)
+        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int64)
         end = np.flatnonzero(self.closes[ids]) + 1
         if len(end) != len(words) or end[-1] != len(ids):
             return False
@@ -114,7 +116,7 @@ class WordTokenizer:
             word, mark = c, None
             if not c.isalpha() and c[:-1].isalpha() and c[-1] in ".,;:!?":
                 word, mark = c[:-1], c[-1]
-            if self.lower and word.isascii() and word.isalpha():
+            if self.lower and word.isascii() and not ("<" in word or ">" in word or "|" in word):
                 word = word.lower()
             if mark is not None:
                 parts[c] = (word, mark)
