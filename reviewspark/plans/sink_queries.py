@@ -113,10 +113,9 @@ def q_sink_sentences(spark, sf):
 def q_stream_clean(spark, sf):
     """The documents table as a file stream: sentence normaliser + token count,
     processed with an available-now trigger into a Parquet sink, read back."""
-    from ..streaming.rowlocal import clean_and_count, document_stream, run_available_now
+    from ..streaming.rowlocal import clean_and_count, run_available_now, table_stream
     out = shared_path(spark, "stream-out")
-    run_available_now(clean_and_count(document_stream(spark, sf, glob="documents.parquet")),
-                      out, shared_path(spark, "stream-ckpt"))
+    run_available_now(clean_and_count(table_stream(spark, sf)), out, shared_path(spark, "stream-ckpt"))
     return spark.read.parquet(out)
 
 
@@ -138,7 +137,7 @@ def q_stream_encode(spark, sf):
     from ..operators.tokens import explode_tokens
     from ..operators.vocab import capped, vocab_freq
     from ..session import materialize
-    from ..streaming.rowlocal import document_stream, run_batches_available_now
+    from ..streaming.rowlocal import run_batches_available_now, table_stream
     from .common import sentences_labelled
     fitted = sentences_labelled(spark, sf)
     vocab = materialize(capped(vocab_freq(explode_tokens(fitted, T.freq_tokens("text"))), 20000), "stream-vocab")
@@ -149,6 +148,5 @@ def q_stream_encode(spark, sf):
         return enc.select("doc_id", F.size("seq").cast("bigint").alias("n"), join_ints("seq").alias("seq"))
 
     out = shared_path(spark, "stream-encode")
-    run_batches_available_now(document_stream(spark, sf, glob="documents.parquet"), per_batch, out,
-                              shared_path(spark, "stream-encode-ckpt"))
+    run_batches_available_now(table_stream(spark, sf), per_batch, out, shared_path(spark, "stream-encode-ckpt"))
     return spark.read.parquet(out).select("doc_id", "n", "seq")

@@ -30,6 +30,15 @@ def document_stream(spark: SparkSession, folder: str, schema: str = DOC_SCHEMA,
     return reader.parquet(folder)
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str = "documents", schema: str = DOC_SCHEMA) -> DataFrame:
+    """A given table as a file stream, whether ``<name>.parquet`` is one file or a folder of part files.
+
+    The path is a pattern that only this name matches: a stream's plain path must be a folder, and a filter on file
+    names would miss the parts of a folder.
+    """
+    return spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/[{name[0]}]{name[1:]}.parquet")
+
+
 def clean_and_count(stream: DataFrame) -> DataFrame:
     """``(doc_id, text, n_tokens)``: normalised text and its token count."""
     text = clean_sentence("text")

@@ -75,3 +75,14 @@ def test_stream_equals_batch(spark):
     batch = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", clean_sentence("text").alias("text"))
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_stream_queries_read_a_table_that_is_a_folder(spark, tmp_path):
+    from reviewspark.plans import sink_queries as Q
+    rows = [(i, f"Text number {i}, a b{i % 3}.", "en", "web", 20) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    (tmp_path / "other_documents.parquet").mkdir()
+    spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert {r.doc_id for r in Q.q_stream_clean(spark, str(tmp_path)).collect()} == set(range(40))
+    assert {r.doc_id for r in Q.q_stream_encode(spark, f"{tmp_path}/").collect()} == set(range(40))
