@@ -151,3 +151,23 @@ def test_pipeline_with_smooth_idf_saves_and_loads(spark, tmp_path):
     a = [r.prediction for r in model.transform(data).orderBy("doc_id").collect()]
     b = [r.prediction for r in back.transform(data).orderBy("doc_id").collect()]
     assert a == b
+
+
+def test_cnn_work_grows_with_words_not_with_padding():
+    """Products are made once per distinct word, padding is not convolved, and every value is that of the plain sum."""
+    rng = np.random.default_rng(4)
+    spec = cnn.CnnSpec(max_len=400, dim=5, widths=(2, 4), filters=3, hidden=4, seed=2)
+    emb = rng.normal(size=(30, 5))
+    x = np.zeros((7, 400), dtype=int)
+    for i, n in enumerate((0, 1, 2, 3, 40, 399, 400)):
+        x[i, 400 - n:] = rng.integers(0, 30, n)
+    theta = spec.init() + 0.01
+    p = spec.unpack(theta)
+    got, (h0, _, _, cache) = cnn.forward(spec, p, emb, x)
+    want = []
+    for w in spec.widths:
+        win = np.lib.stride_tricks.sliding_window_view(emb[x], w, axis=1)  # (B, T, d, w)
+        want.append(np.maximum(np.einsum("btdk,fkd->btf", win, p[f"conv{w}_w"]).max(axis=1) + p[f"conv{w}_b"], 0))
+    assert np.allclose(h0, np.concatenate(want, axis=1), rtol=1e-12, atol=1e-12)
+    words, places = cache[0][0], cache[0][1]
+    assert len(words) <= 30 and len(places) <= (0 + 1 + 2 + 3 + 40 + 399 + 400) + 7 * 4 + 30
