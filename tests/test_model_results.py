@@ -125,6 +125,13 @@ def test_parzen_densities():
     assert R.Range(1e-4, 1e-1, log=True).from_unit(R.Range(1e-4, 1e-1, log=True).to_unit(3e-3)) == pytest.approx(3e-3)
 
 
+def test_range_ends_are_inside():
+    for low, high in ((1e-4, 1e-1), (1e-3, 1e-2), (3e-5, 0.7)):
+        r = R.Range(low, high, log=True)
+        assert low <= r.from_unit(0.0) <= r.from_unit(1.0) <= high
+    assert R.Range(0.1, 0.7).from_unit(1.0) <= 0.7
+
+
 def test_guided_cnn_search(spark):
     rng = np.random.default_rng(0)
     emb = rng.normal(size=(30, 6)).astype(np.float32)
