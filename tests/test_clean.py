@@ -125,3 +125,13 @@ def test_pages_review_clean_matches_plain_python(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html")
     for r in pages.select("html", C.clean_review("html").alias("c")).collect():
         assert r.c == _plain_review_clean(r.html)
+
+
+def test_cleaning_searches_no_gaps(spark):
+    """Runs of kept characters are found, not the gaps replaced (three times the work); marks are plain replacements."""
+    df = spark.createDataFrame([("a,,b  (c)?!'s  don't K\u212a\u00e9x\t\n.. ",), ("",), (None,)], "s string")
+    plan = df.select(C.clean_sentence("s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
+    assert [r[0] for r in df.select(C.clean_sentence("s")).collect()] == ["a , , b \\( c \\) \\? ! 's do n't k x", "", ""]
+    from reviewspark.functions import tokens as T
+    assert df.select(T.review_words("s")).first()[0] == ["a,,b", "(c)?!'s", "don't", "k", "x"]
