@@ -102,3 +102,14 @@ def test_intermediates_are_given_back(spark):
 def test_measured_counts_text_in_full(spark):
     df = spark.createDataFrame([("x" * 1000, 1), (None, 2)], "token string, idx long")
     assert measured(df) == (2, 1000 + 2 * 32)
+
+
+def test_doc_vectors_carry_no_vector_a_token_of_a_document(spark):
+    """A block is sent each vector once: no aggregate of vectors over the counted rows; tokens that come twice count twice."""
+    _, df = hot_tokens(spark)
+    table = spark.createDataFrame([("the", [2.0, 4.0]), ("w1", [1.0, 1.0]), ("w1", [3.0, 1.0])], "token string, vec array<float>")
+    out = vectors.doc_vectors(df, table)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "aggregate_metrics" not in plan
+    small = spark.createDataFrame([(None, 0, "w1"), (None, 1, "the"), (5, 0, "w1"), (6, 0, "x")], "doc_id long, pos int, token string")
+    assert {r.doc_id: r.vec for r in vectors.doc_vectors(small, table).collect()} == {None: [2.0, 2.0], 5: [2.0, 1.0]}
