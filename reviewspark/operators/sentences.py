@@ -41,6 +41,12 @@ def base(word: Column) -> Column:
     return F.regexp_replace(core(word), r"\.+$", "")
 
 
+def closes(word: Column) -> Column:
+    """The word ends like a sentence; most words hold no mark, and need no search."""
+    marked = F.contains(word, F.lit(".")) | F.contains(word, F.lit("!")) | F.contains(word, F.lit("?"))
+    return F.when(marked, word.rlike(CLOSES)).otherwise(False)
+
+
 def _is_word(b: Column) -> Column:
     return b.rlike("[a-z]")
 
@@ -51,9 +57,11 @@ def _xlogy(x: Column, y: Column) -> Column:
 
 def abbreviations(pairs: DataFrame) -> DataFrame:
     """``(word, n_stop, n_plain, score)`` of the words with ``score >= ABBREVIATION``; ``pairs(word, nxt)``."""
-    some = pairs.select(base(F.col("word")).alias("b"), core(F.col("word")).endswith(".").alias("stop")).where(_is_word(F.col("b")))
-    per = materialize(some.groupBy("b").agg(F.sum(F.col("stop").cast("long")).alias("n_stop"),
-                                            F.sum((~F.col("stop")).cast("long")).alias("n_plain")), "word-stops")
+    # words are counted as they stand, so that each spelling is taken apart once
+    raw = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("c"))
+    some = raw.select(base(F.col("word")).alias("b"), core(F.col("word")).endswith(".").alias("stop"), "c").where(_is_word(F.col("b")))
+    per = materialize(some.groupBy("b").agg(F.sum(F.when(F.col("stop"), F.col("c")).otherwise(0)).alias("n_stop"),
+                                            F.sum(F.when(F.col("stop"), 0).otherwise(F.col("c"))).alias("n_plain")), "word-stops")
     n = per.select(F.sum(F.col("n_stop") + F.col("n_plain"))).scalar().cast("double")
     rate = per.select(F.sum("n_stop")).scalar().cast("double") / n
     stop, plain = F.col("n_stop").cast("double"), F.col("n_plain").cast("double")
@@ -66,9 +74,10 @@ def abbreviations(pairs: DataFrame) -> DataFrame:
 
 def starters(pairs: DataFrame, is_abbreviation) -> DataFrame:
     """``(word, n, n_after, score)`` of the words that follow sure breaks far more often than others do."""
-    sure = F.col("word").rlike(CLOSES) & ~(core(F.col("word")).endswith(".") & is_abbreviation(base(F.col("word"))))
-    some = pairs.where("nxt IS NOT NULL").select(base(F.col("nxt")).alias("b"), sure.alias("after")).where(_is_word(F.col("b")))
-    per = materialize(some.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("after").cast("long")).alias("n_after")), "word-starts")
+    sure = F.when(closes(F.col("word")), ~(core(F.col("word")).endswith(".") & is_abbreviation(base(F.col("word"))))).otherwise(False)
+    raw = pairs.where("nxt IS NOT NULL").groupBy("nxt").agg(F.count(F.lit(1)).alias("n"), F.sum(sure.cast("long")).alias("n_after"))
+    some = raw.select(base(F.col("nxt")).alias("b"), "n", "n_after").where(_is_word(F.col("b")))
+    per = materialize(some.groupBy("b").agg(F.sum("n").alias("n"), F.sum("n_after").alias("n_after")), "word-starts")
     total = per.select(F.sum("n")).scalar().cast("double")
     breaks = per.select(F.sum("n_after")).scalar().cast("double")
     a, ab = F.col("n").cast("double"), F.col("n_after").cast("double")
@@ -119,7 +128,7 @@ def trained_sentences(df: DataFrame, text: str = "text", key: str = "doc_id", le
 
     rows = df.select(key, words_of(text).alias("_w"))
     # the words whose place matters are told first, so that each is tested once
-    rows = rows.select(key, "_w", F.filter(F.transform("_w", lambda x, i: F.when(x.rlike(CLOSES) | (i == F.size("_w") - 1), i)),
+    rows = rows.select(key, "_w", F.filter(F.transform("_w", lambda x, i: F.when(closes(x) | (i == F.size("_w") - 1), i)),
                                            lambda i: i.isNotNull()).alias("_may"))
     rows = rows.select(key, "_w", F.filter("_may", lambda i: ends(F.col("_w"), i)).alias("_end"))
     cut = F.transform("_end", lambda e, j: F.array_join(F.slice(
