@@ -47,6 +47,26 @@ def worker_memory() -> dict:
     return holder.__dict__.setdefault("kept", {})
 
 
+def forget(*keep) -> None:
+    """Give back what other operators kept in this worker (tokenizers and their memories), but for the names in ``keep``."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    kept = worker_memory()
+    others = [k for k in kept if k not in keep]
+    for k in others:
+        del kept[k]
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # not glibc
+            pass
+
+
 BATCH_BYTES = "8m"
 
 

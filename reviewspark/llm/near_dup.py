@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window  # noqa: F401
 from pyspark.sql import functions as F
 
 from ..operators.joins import fits
-from .common import fresh, materialize, shuffle_partitions, text_or_empty
+from .common import forget, fresh, materialize, shuffle_partitions, text_or_empty
 from .exact_dedup import RepeatFilter
 from .shingles import mix, shingle_sets
 
@@ -86,6 +86,7 @@ def band_keys(sk: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 def _sketch_batches(batches):
     import pyarrow as pa
+    forget("powers")
     for b in batches:
         n, h1, h2, keys, sig = [], [], [], [], []
         for _, s, at in shingle_sets(b.column(1), SHINGLE):
@@ -128,6 +129,7 @@ def _verify_batches(batches):
     """(u, v) of the rows (v, block, u, text), sorted so that v's own text (u is null) comes before its partners'."""
     import pyarrow as pa
 
+    forget("powers")
     hub = np.empty(0, np.uint64)  # the one set that is held: v's
     for b in batches:
         v, partner = b.column("v").to_numpy(), b.column("u")

@@ -13,6 +13,7 @@ _C = _U(0xD6E8FEB86659FD93)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _CHUNK = 1 << 19                                  # bytes handled at a time; one longer text is handled whole
+_ROWS = 1024                                      # texts handled at a time: callers keep sketches of 6.4 kB for each
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -141,7 +142,7 @@ def shingle_sets(arr, k: int = 5):
     i, n = 0, len(offs) - 1
     while i < n:
         j = int(np.searchsorted(offs, offs[i] + _CHUNK, "right")) - 1
-        j = min(n, max(j, i + 1))
+        j = min(n, i + _ROWS, max(j, i + 1))
         part = offs[i:j + 1]
         with np.errstate(over="ignore"):
             s, at = _sets_of(data[part[0]:part[-1]], part - part[0], k)
