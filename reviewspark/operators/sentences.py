@@ -5,9 +5,9 @@ full stop, are short, and have full stops inside: the log-likelihood ratio of a
 weighted by these.  After an abbreviation a sentence still ends if the next word starts with a capital and is a frequent
 sentence starter, which a second log-likelihood ratio tells from the words that follow sure breaks.
 
-Learning is two aggregates by word (map-side combined).  What is learned are two lists, at most ``MOST`` words each
-(the highest scores; a model size, not a limit on the data); applying them is row-local: they travel as literal tables and
-no text moves.
+Learning is two aggregates by word (map-side combined).  What is learned are two lists of words, whole whatever their
+length.  Lists of at most ``MOST`` words each travel as literal tables, so that applying them is row-local and no text
+moves; longer ones are joined to the words that may end a sentence, with the same result.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from ..functions.literal import literal_map
 from ..session import materialize
+from .joins import lookup
 
 ABBREVIATION, STARTER = 0.3, 30.0   # least scores
-MOST = 20_000
+MOST = 20_000                       # words of a list that travels as a literal
 
 # fixed values of the method: white space, what may close a sentence, what stands around a word
 SPACE = r"[\x20\x09-\x0D]+"
@@ -74,8 +75,16 @@ def abbreviations(pairs: DataFrame) -> DataFrame:
 
 def starters(pairs: DataFrame, is_abbreviation) -> DataFrame:
     """``(word, n, n_after, score)`` of the words that follow sure breaks far more often than others do."""
-    sure = F.when(closes(F.col("word")), ~(core(F.col("word")).endswith(".") & is_abbreviation(base(F.col("word"))))).otherwise(False)
-    raw = pairs.where("nxt IS NOT NULL").groupBy("nxt").agg(F.count(F.lit(1)).alias("n"), F.sum(sure.cast("long")).alias("n_after"))
+    pairs = pairs.where("nxt IS NOT NULL")
+    if isinstance(is_abbreviation, DataFrame):
+        # only words that close with a full stop are looked up, each different one once beside its next word
+        stopped = F.when(closes(F.col("word")) & core(F.col("word")).endswith("."), base(F.col("word")))
+        seen = pairs.groupBy("nxt", stopped.alias("_stopped"), F.coalesce(closes(F.col("word")), F.lit(False)).alias("_closes")).agg(F.count(F.lit(1)).alias("_c"))
+        seen = _flagged(seen, is_abbreviation, "_stopped", "_held")
+        raw = seen.groupBy("nxt").agg(F.sum("_c").alias("n"), F.sum(F.when(F.col("_closes") & ~F.col("_held"), F.col("_c")).otherwise(0)).alias("n_after"))
+    else:
+        sure = F.when(closes(F.col("word")), ~(core(F.col("word")).endswith(".") & is_abbreviation(base(F.col("word"))))).otherwise(False)
+        raw = pairs.groupBy("nxt").agg(F.count(F.lit(1)).alias("n"), F.sum(sure.cast("long")).alias("n_after"))
     some = raw.select(base(F.col("nxt")).alias("b"), "n", "n_after").where(_is_word(F.col("b")))
     per = materialize(some.groupBy("b").agg(F.sum("n").alias("n"), F.sum("n_after").alias("n_after")), "word-starts")
     total = per.select(F.sum("n")).scalar().cast("double")
@@ -91,8 +100,21 @@ def starters(pairs: DataFrame, is_abbreviation) -> DataFrame:
 
 
 def _listed(found: DataFrame, most: int):
-    rows = found.select("word", "score", F.xxhash64("word").alias("h")).orderBy(F.desc("score"), "word").limit(most).collect()
-    return literal_map([(r["word"], r["score"], r["h"]) for r in rows])
+    """The words of ``found``: a function from a word to a boolean if there are at most ``most``, else a written table."""
+    found = materialize(found.select("word", "score", F.xxhash64("word").alias("h")), "word-list")
+    rows = found.limit(most + 1).collect()
+    if len(rows) > most:
+        return found.select("word")
+    known = literal_map([(r["word"], r["score"], r["h"]) for r in rows])
+    return lambda b: known(b).isNotNull()
+
+
+def _flagged(rows: DataFrame, listed, on: str, name: str) -> DataFrame:
+    """``rows`` with the column ``name``: whether the word in ``on`` is listed."""
+    if not isinstance(listed, DataFrame):
+        return rows.withColumn(name, F.coalesce(listed(F.col(on)), F.lit(False)))
+    known = listed.select(F.col("word").alias(on), F.lit(True).alias(name))
+    return lookup(rows, known, on, "left", check=True).withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def word_pairs(df: DataFrame, text: str = "text") -> DataFrame:
@@ -102,12 +124,11 @@ def word_pairs(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def learn(df: DataFrame, text: str = "text", most: int = MOST):
-    """``(is abbreviation, is starter)``: functions from a word's base to a boolean."""
+    """``(abbreviations, starters)``: functions from a word's base to a boolean, or tables ``(word)`` of more than ``most``
+    words."""
     pairs = word_pairs(df, text)
-    known = _listed(abbreviations(pairs), most)
-    is_abbreviation = lambda b: known(b).isNotNull()
-    first = _listed(starters(pairs, is_abbreviation), most)
-    return is_abbreviation, lambda b: first(b).isNotNull()
+    is_abbreviation = _listed(abbreviations(pairs), most)
+    return is_abbreviation, _listed(starters(pairs, is_abbreviation), most)
 
 
 def trained_sentences(df: DataFrame, text: str = "text", key: str = "doc_id", learned=None) -> DataFrame:
@@ -117,20 +138,32 @@ def trained_sentences(df: DataFrame, text: str = "text", key: str = "doc_id", le
     """
     is_abbreviation, is_starter = learned or learn(df, text)
 
-    def ends(words: Column, i: Column) -> Column:
-        w, nxt = F.get(words, i), F.get(words, i + 1)
+    def ends(w: Column, nxt: Column, known, starts) -> Column:
         b = base(w)
         stop = core(w).endswith(".")
-        held = is_abbreviation(b) | (F.length(b) == 1) & _is_word(b)            # abbreviations and initials
-        opens = nxt.rlike(r"^[^A-Za-z0-9]*[A-Z]") & is_starter(base(nxt))
+        held = known | (F.length(b) == 1) & _is_word(b)                         # abbreviations and initials
+        opens = nxt.rlike(r"^[^A-Za-z0-9]*[A-Z]") & starts
         number = b.rlike(r"^[0-9]+$") & nxt.rlike("^[a-z]")                     # "3. floor"
         return nxt.isNull() | w.rlike(CLOSES) & F.when(stop, F.when(held, opens).otherwise(~number)).otherwise(True)
 
     rows = df.select(key, words_of(text).alias("_w"))
     # the words whose place matters are told first, so that each is tested once
-    rows = rows.select(key, "_w", F.filter(F.transform("_w", lambda x, i: F.when(closes(x) | (i == F.size("_w") - 1), i)),
-                                           lambda i: i.isNotNull()).alias("_may"))
-    rows = rows.select(key, "_w", F.filter("_may", lambda i: ends(F.col("_w"), i)).alias("_end"))
+    may = F.filter(F.transform("_w", lambda x, i: F.when(closes(x) | (i == F.size("_w") - 1), i)), lambda i: i.isNotNull())
+    if isinstance(is_abbreviation, DataFrame) or isinstance(is_starter, DataFrame):
+        rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "word-rows")
+        asked = rows.select("_row", "_w", F.explode(may).alias("_i")).select("_row", "_i", F.get("_w", F.col("_i")).alias("_x"), F.get("_w", F.col("_i") + 1).alias("_nxt"))
+        asked = asked.select("*", base(F.col("_x")).alias("_b"), base(F.col("_nxt")).alias("_nb"))
+        asked = _flagged(_flagged(asked, is_abbreviation, "_b", "_known"), is_starter, "_nb", "_starts")
+        asked = asked.where(ends(F.col("_x"), F.col("_nxt"), F.col("_known"), F.col("_starts")))
+        found = asked.groupBy(F.col("_row").alias("_of")).agg(F.sort_array(F.collect_list("_i")).alias("_end"))
+        rows = rows.join(found, F.col("_row") == F.col("_of")).select(key, "_w", "_end")
+    else:
+        def at(i: Column) -> Column:
+            w, nxt = F.get("_w", i), F.get("_w", i + 1)
+            return ends(w, nxt, is_abbreviation(base(w)), is_starter(base(nxt)))
+
+        rows = rows.select(key, "_w", may.alias("_may"))
+        rows = rows.select(key, "_w", F.filter("_may", at).alias("_end"))
     cut = F.transform("_end", lambda e, j: F.array_join(F.slice(
         "_w", F.when(j == 0, 1).otherwise(F.get("_end", j - 1) + 2), e - F.when(j == 0, -1).otherwise(F.get("_end", j - 1))), " "))
     return rows.select(key, F.posexplode(cut).alias("sent_no", "sentence"))

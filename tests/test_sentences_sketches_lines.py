@@ -94,6 +94,17 @@ def test_sentences_of_odd_texts(spark, corpus):
     assert by[7][:2] == ["3. floor of mr. X.", "The end."] and len(by[7]) == 6000
 
 
+def test_long_lists_are_used_whole(spark, corpus):
+    """Lists beyond the size of a literal give the same sentences; rows of one id or without one stay apart."""
+    _, df = corpus
+    rows = df.unionByName(df.limit(3)).unionByName(spark.createDataFrame([(None, "So mr. Smith sat. The end came."), (None, None), (900, "")], df.schema))
+    rows = spark.createDataFrame(rows.collect(), df.schema)
+    want = sorted(map(str, Sn.trained_sentences(rows, learned=Sn.learn(df)).collect()))
+    learned = Sn.learn(df, most=1)
+    assert all(hasattr(x, "columns") and x.count() > 1 for x in learned)
+    assert sorted(map(str, Sn.trained_sentences(rows, learned=learned).collect())) == want
+
+
 # ---- sketches ------------------------------------------------------------------
 
 
