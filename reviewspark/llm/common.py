@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, materialize, shared_path  # noqa: F401  (re-exported)
+from ..session import bounded_batches, ensure_checkpoint_dir, materialize, shared_path  # noqa: F401  (re-exported)
 
 # ASCII white space as every contract of this subpackage means it
 WS = r"[\x20\x09-\x0D]+"
@@ -67,20 +67,6 @@ def forget(*keep) -> None:
             pass
 
 
-BATCH_BYTES = "8m"
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Let Arrow batches hold ``BATCH_BYTES`` at most, unless the session names a size itself.
-
-    Batches are counted in rows by default, so a batch of long texts can take hundreds of megabytes in a worker and as
-    much again outside the heap.
-    """
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if not spark.sparkContext.getConf().contains(key):
-        spark.conf.set(key, BATCH_BYTES)
-
-
 def smallest(df: DataFrame, key, n: int, order: list) -> DataFrame:
     """The ``n`` rows of ``df`` that come first in ``order``, which begins with the hex hash ``key``.
 
