@@ -113,3 +113,30 @@ def test_doc_vectors_carry_no_vector_a_token_of_a_document(spark):
     assert "FlatMapCoGroupsInArrow" in plan and "aggregate_metrics" not in plan
     small = spark.createDataFrame([(None, 0, "w1"), (None, 1, "the"), (5, 0, "w1"), (6, 0, "x")], "doc_id long, pos int, token string")
     assert {r.doc_id: r.vec for r in vectors.doc_vectors(small, table).collect()} == {None: [2.0, 2.0], 5: [2.0, 1.0]}
+
+
+def test_doc_vectors_in_waves_are_the_same(spark, monkeypatch):
+    """Many blocks are done in waves, every document in one of them; each wave's shuffles end with it."""
+    from reviewspark import session
+    rows = [(None if i % 50 == 7 else i % 40, i, f"w{i * i % 23}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, pos int, token string")
+    table = spark.createDataFrame([(f"w{i}", [float(i), 1.0]) for i in range(0, 23, 2)] + [("w4", [0.5, 0.5])], "token string, vec array<float>")
+    docs = spark.createDataFrame([(i,) for i in range(42)], "doc_id long")
+    got = lambda: {r.doc_id: [round(x, 9) for x in r.vec] if r.vec else None for r in vectors.doc_vectors(df, table, docs=docs).collect()}
+    want = got()
+    written, real = [], session.materialize
+    monkeypatch.setattr(session, "materialize", lambda x, name: written.append(name) or real(x, name))
+    monkeypatch.setattr(vectors, "BLOCK_PAIRS", 9)
+    monkeypatch.setattr(vectors, "WAVES", 5)
+    assert got() == want and written.count("doc-means") == 5 and len(want) == 42 and want[41] is None
+
+
+def test_vector_vocabulary_is_that_of_the_expression(spark, tmp_path):
+    """Words found on the bytes of a batch are those of the regular expression on the lower-cased text; no row is a word of a text."""
+    from reviewspark.sources.vectors import vector_vocabulary
+    texts = ["Ab cd", "ef", None, "", "x9y-z", "\u0130stanbul \u212Aelvin na\u00efve", "end", "start.", "\U0001f600a", "a" * 40_000, "..", "End", "q"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id long, text string").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    got = vector_vocabulary(spark, str(tmp_path))
+    want = spark.read.parquet(f"{tmp_path}/documents.parquet").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("token")).distinct()
+    assert sorted(r.token for r in got.collect()) == sorted(r.token for r in want.collect())
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
