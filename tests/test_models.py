@@ -171,3 +171,19 @@ def test_cnn_work_grows_with_words_not_with_padding():
     assert np.allclose(h0, np.concatenate(want, axis=1), rtol=1e-12, atol=1e-12)
     words, places = cache[0][0], cache[0][1]
     assert len(words) <= 30 and len(places) <= (0 + 1 + 2 + 3 + 40 + 399 + 400) + 7 * 4 + 30
+
+
+def test_cnn_forward_holds_the_sums_of_one_row(monkeypatch):
+    """The sums over a batch's windows are never held for all rows, and equal those of each row alone."""
+    import tracemalloc
+    spec = cnn.CnnSpec(max_len=400, dim=8, widths=(3, 4, 5), filters=32, hidden=6, seed=1)
+    rng = np.random.default_rng(2)
+    emb = rng.normal(size=(50, 8)).astype(np.float32)
+    x = rng.integers(1, 50, (256, 400))
+    p = spec.unpack(spec.init())
+    want = np.concatenate([cnn.forward(spec, p, emb, x[i:i + 1])[0] for i in range(len(x))])
+    tracemalloc.start()
+    got, _ = cnn.forward(spec, p, emb, x)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got, want, rtol=1e-12) and most < 256 * 400 * 32 * 8 / 2
